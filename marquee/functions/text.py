@@ -145,7 +145,12 @@ def remove_stopwords(tokens, stopwords) -> Column:
 
 
 def word_ngrams(tokens, n_min: int = 1, n_max: int = 2) -> Column:
-    """Space-joined word n-grams for n in [n_min, n_max], unigrams first."""
+    """Space-joined word n-grams for n in [n_min, n_max], unigrams first.
+
+    Pass a column reference (see ``with_ngrams``): the tokens are read once
+    per n-gram inside the lambda, so an unmaterialised expression would be
+    re-evaluated per position.
+    """
     t = _c(tokens)
     parts = []
     for n in range(n_min, n_max + 1):
@@ -160,6 +165,13 @@ def word_ngrams(tokens, n_min: int = 1, n_max: int = 2) -> Column:
     return reduce(F.concat, parts) if len(parts) > 1 else parts[0]
 
 
+def with_ngrams(df, tokens: Column, n_min: int = 1, n_max: int = 2, keep=("row_id",),
+                out: str = "terms"):
+    """``df`` projected to ``keep`` + word n-grams of ``tokens``, tokens computed once."""
+    staged = df.select(*keep, tokens.alias("_tokens"))
+    return staged.select(*keep, word_ngrams(F.col("_tokens"), n_min, n_max).alias(out))
+
+
 def char_wb_ngrams(c, n_min: int, n_max: int) -> Column:
     """Character n-grams inside word boundaries (each word padded by spaces).
 

@@ -116,20 +116,22 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "label",
     return x.withColumn("fold", fold.cast("int")).drop("_n", "_s", "_pos")
 
 
-def label_base(base: DataFrame, marker: str = P.OUTLET_A_SITE) -> DataFrame:
+def label_base(base: DataFrame, marker: str = P.OUTLET_A_SITE, a: str = P.OUTLET_A,
+               b: str = P.OUTLET_B) -> DataFrame:
     """Base corpus: drop null headlines, label from URL (case-insensitive regex)."""
     return (base.where(F.col("headline").isNotNull())
-            .withColumn("source", T.source_from_url_ci(F.col("url"), marker)))
+            .withColumn("source", T.source_from_url_ci(F.col("url"), marker, a, b)))
 
 
-def merge_corpus(base: DataFrame, new: DataFrame, seed: int = P.SEED) -> DataFrame:
+def merge_corpus(base: DataFrame, new: DataFrame, seed: int = P.SEED, marker: str = P.OUTLET_A_SITE,
+                 a: str = P.OUTLET_A, b: str = P.OUTLET_B) -> DataFrame:
     """Exact dedupe and balance the new rows, drop those already in base
     (normalized key), and append them to the untouched base rows.
 
     ``base``: row_id, url, headline; ``new``: row_id, headline, source.
     Output: row_id, headline, source, origin ('base' | 'new').
     """
-    labelled = label_base(base)
+    labelled = label_base(base, marker, a, b)
     fresh = balance_classes(dedupe_exact(new.select("row_id", "headline", "source")), "source", seed)
     fresh = anti_join_base(dedupe_normalized(fresh), labelled)
     return (labelled.select("row_id", "headline", "source", F.lit("base").alias("origin"))

@@ -127,8 +127,8 @@ def q_length_stats_row(spark, sf):
 @query
 def q_tokens_ws(spark, sf):
     toks = T.ws_tokens(T.clean_headline(F.col("text")))
-    return _docs(spark, sf).select("row_id", F.posexplode(toks).alias("pos", "token")) \
-        .select("row_id", F.col("pos").cast("long").alias("pos"), "token")
+    from marquee.operators.vocab import explode_positions
+    return explode_positions(_docs(spark, sf), toks)
 
 
 # --- filters ------------------------------------------------------------------
@@ -199,3 +199,409 @@ def q_prepare_headlines(spark, sf):
 @query
 def q_style_features(spark, sf):
     return X.page_heads(spark, sf).select("row_id", *style_columns("headline"))
+
+
+# --- corpus: dedupe, anti join, balance, splits, folds, grid -----------------
+
+from marquee.operators import corpus as C  # noqa: E402
+from marquee.operators import metrics as M  # noqa: E402
+from marquee.operators import stats as S  # noqa: E402
+from marquee.operators import vocab as V  # noqa: E402
+from marquee.functions import stopwords  # noqa: E402
+
+SCORE_MULTIPLIERS = [37, 53, 71]
+THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+TOP_TERMS = 100
+
+
+def _merged(spark, sf):
+    return C.merge_corpus(X.base_corpus(spark, sf), X.new_corpus(spark, sf), P.SEED,
+                          "foxnews.com", X.CLASS_A, X.CLASS_B)
+
+
+@query
+def q_dedupe_first(spark, sf):
+    return C.dedupe_first(X.doc_texts(spark, sf))
+
+
+@query
+def q_dedupe_exact(spark, sf):
+    return C.dedupe_exact(X.new_corpus(spark, sf))
+
+
+@query
+def q_dedupe_normalized(spark, sf):
+    return C.dedupe_normalized(X.new_corpus(spark, sf))
+
+
+@query
+def q_anti_join_base(spark, sf):
+    return C.anti_join_base(X.new_corpus(spark, sf), X.base_corpus(spark, sf))
+
+
+@query
+def q_balance_classes(spark, sf):
+    return C.balance_classes(C.dedupe_exact(X.new_corpus(spark, sf)), "source", P.SEED)
+
+
+@query
+def q_merge_corpus(spark, sf):
+    return _merged(spark, sf)
+
+
+@query
+def q_sample_per_check(spark, sf):
+    d = X.read(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang")
+    return C.sample_per_group(d, ["lang"], 5, P.SEED)
+
+
+@query
+def q_split_random(spark, sf):
+    return C.split_random(X.doc_texts(spark, sf).select("row_id")).select("row_id", "is_test")
+
+
+@query
+def q_split_stratified(spark, sf):
+    return C.split_stratified(X.doc_train(spark, sf).select("row_id", "label"))
+
+
+@query
+def q_stratified_folds(spark, sf):
+    return C.stratified_folds(X.doc_train(spark, sf).select("row_id", "label"))
+
+
+@query
+def q_query_grid(spark, sf):
+    sources = X.read(spark, sf, "documents").select("source").distinct()
+    return C.query_grid(sources)
+
+
+@query
+def q_day_ranges(spark, sf):
+    ev = X.read(spark, sf, "events").groupBy("user_id").agg(
+        F.to_date(F.min("ts")).alias("start"), F.to_date(F.max("ts")).alias("end"))
+    return C.day_ranges(ev, "start", "end")
+
+
+# --- statistics ----------------------------------------------------------------
+
+def _eda_pages(spark, sf):
+    """Exploratory set: page headlines after language pass 1 and ratio < 0.16."""
+    x = _pages_labelled(spark, sf).where(F.col("headline").isNotNull())
+    x = FL.language_pass2(FL.language_pass1(x), inclusive=False)
+    return x.withColumn("len", F.length("headline"))
+
+
+def _eda_styled(spark, sf):
+    return _eda_pages(spark, sf).select("row_id", "source", *style_columns("headline"))
+
+
+def _r6(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query
+def q_source_counts(spark, sf):
+    return S.value_counts(_merged(spark, sf), "source")
+
+
+@query
+def q_length_describe(spark, sf):
+    return _r6(S.describe(_eda_pages(spark, sf), "source", "len"))
+
+
+@query
+def q_style_means(spark, sf):
+    st = _eda_styled(spark, sf)
+    return _r6(st.groupBy("source").agg(*[F.avg(f).alias(f) for f in P.STYLE_FEATURES]))
+
+
+@query
+def q_style_crosstab(spark, sf):
+    return S.crosstab_long(_eda_styled(spark, sf), "source", P.STYLE_FEATURES)
+
+
+def _chi(spark, sf):
+    cells = S.crosstab_long(_eda_styled(spark, sf), "source", P.STYLE_FEATURES)
+    return S.chi_square(cells, "source", F.array(F.lit(X.CLASS_A), F.lit(X.CLASS_B)))
+
+
+@query
+def q_chi2_style(spark, sf):
+    return _r6(_chi(spark, sf))
+
+
+@query
+def q_cramers_v(spark, sf):
+    return _r6(S.cramers_v(_chi(spark, sf)))
+
+
+@query
+def q_style_significance(spark, sf):
+    sig = S.style_significance(_eda_styled(spark, sf), "source", X.CLASS_A, X.CLASS_B)
+    return _r6(sig.drop("p_value"))
+
+
+@query
+def q_chi2_pvalue(spark, sf):
+    sig = S.style_significance(_eda_styled(spark, sf), "source", X.CLASS_A, X.CLASS_B)
+    return sig.select("feature", "kind", "chi2", "dof", "p_value")
+
+
+@query
+def q_length_histogram(spark, sf):
+    return _r6(S.histogram(_eda_pages(spark, sf), "source", "len", 30))
+
+
+@query
+def q_length_boxplot(spark, sf):
+    return _r6(S.boxplot_stats(_eda_pages(spark, sf), "source", "len"))
+
+
+@query
+def q_artifact_counts(spark, sf):
+    return S.pattern_counts(_eda_pages(spark, sf), "headline")
+
+
+@query
+def q_shortest_per_source(spark, sf):
+    x = S.top_k_per_group(_eda_pages(spark, sf), "source", [F.col("len"), F.col("row_id")], 3)
+    return x.select("source", F.col("rank").cast("long").alias("rank"), "row_id", "headline",
+                    F.col("len").cast("long").alias("len"))
+
+
+@query
+def q_longest_per_source(spark, sf):
+    x = S.top_k_per_group(_eda_pages(spark, sf), "source", [F.col("len").desc(), F.col("row_id")], 3)
+    return x.select("source", F.col("rank").cast("long").alias("rank"), "row_id", "headline",
+                    F.col("len").cast("long").alias("len"))
+
+
+@query
+def q_borderline_tail(spark, sf):
+    ph = FL.drop_nulls(X.page_heads(spark, sf))
+    x = FL.borderline_pass1(ph).orderBy(F.col("row_id").desc()).limit(5)
+    return x.select("row_id", "headline", T.marker_word_count(F.col("headline")).cast("long").alias("n_marker_words"),
+                    T.marker_char_count(F.col("headline")).cast("long").alias("n_marker_chars"))
+
+
+# --- tokens, vocabularies, tf-idf ----------------------------------------------
+
+def _clean_docs(spark, sf):
+    return _docs(spark, sf).select("row_id", T.clean_headline(F.col("text")).alias("clean"))
+
+
+def _pos_tokens(df, arr):
+    return V.explode_positions(df, arr)
+
+
+@query
+def q_token_counts(spark, sf):
+    toks = _pos_tokens(_clean_docs(spark, sf), T.ws_tokens(F.col("clean")))
+    return V.token_frequency(toks)
+
+
+@query
+def q_word_tokens(spark, sf):
+    return _pos_tokens(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
+
+
+@query
+def q_word_tokens_default(spark, sf):
+    return _pos_tokens(_docs(spark, sf), T.word_tokens(F.col("text"), default_pattern=True))
+
+
+@query
+def q_stopword_tokens(spark, sf):
+    toks = T.remove_stopwords(T.word_tokens(F.col("text"), default_pattern=True), stopwords.english())
+    return _pos_tokens(_docs(spark, sf), toks)
+
+
+@query
+def q_word_bigrams(spark, sf):
+    grams = T.with_ngrams(_clean_docs(spark, sf), T.word_tokens(F.col("clean")), 1, 2)
+    return V.term_counts(grams, F.col("terms"))
+
+
+@query
+def q_char_ngrams(spark, sf):
+    ph = X.page_heads(spark, sf).select("row_id", T.clean_headline(F.col("headline")).alias("clean"))
+    return V.term_counts(ph, T.char_wb_ngrams(F.col("clean"), 3, 5))
+
+
+def _train_split(spark, sf):
+    return C.split_stratified(X.doc_train(spark, sf))
+
+
+def _bigrams(df):
+    return T.with_ngrams(df, T.word_tokens(T.clean_headline(F.col("headline"))), 1, 2)
+
+
+def _train_vocab(spark, sf):
+    tr = _train_split(spark, sf).where(~F.col("is_test"))
+    tc = V.term_counts(_bigrams(tr), F.col("terms"))
+    n_docs = tr.agg(F.count(F.lit(1))).scalar()
+    return V.idf(V.vocabulary(tc, max_features=5000, min_df=2), n_docs)
+
+
+@query
+def q_vocab_topn(spark, sf):
+    tc = V.term_counts(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
+    top = tc.groupBy("term").agg(F.sum("tf").alias("total")).orderBy(F.col("total").desc(), "term").limit(TOP_TERMS)
+    from pyspark.sql import Window as W
+    return top.select("term", "total", F.row_number().over(W.orderBy(F.col("total").desc(), "term"))
+                      .cast("long").alias("rank"))
+
+
+@query
+def q_vocab_min_df(spark, sf):
+    return _train_vocab(spark, sf).select("term", "df", "total", "idx")
+
+
+@query
+def q_tf_sublinear(spark, sf):
+    tc = V.term_counts(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
+    return _r6(tc.withColumn("tf_sublinear", 1 + F.log(F.col("tf"))))
+
+
+@query
+def q_idf(spark, sf):
+    return _r6(_train_vocab(spark, sf).select("term", "idf"))
+
+
+@query
+def q_tfidf_long(spark, sf):
+    tc = V.term_counts(_bigrams(X.doc_train(spark, sf)), F.col("terms"))
+    return _r6(V.tfidf(tc, _train_vocab(spark, sf), sublinear=True).select("row_id", "term", "weight"))
+
+
+def _train_ws_tokens(spark, sf, only_train: bool):
+    x = _train_split(spark, sf)
+    if only_train:
+        x = x.where(~F.col("is_test"))
+    return _pos_tokens(x, T.ws_tokens(T.clean_headline(F.col("headline"))))
+
+
+@query
+def q_vocab_index(spark, sf):
+    return V.vocab_index(_train_ws_tokens(spark, sf, True))
+
+
+@query
+def q_encode_tokens(spark, sf):
+    index = V.vocab_index(_train_ws_tokens(spark, sf, True))
+    ids = X.doc_train(spark, sf).select("row_id")
+    return V.encode(_train_ws_tokens(spark, sf, False), index, P.SEQ_LEN, ids)
+
+
+def _styled_pages(spark, sf):
+    return X.page_heads(spark, sf).select("row_id", *style_columns("headline"))
+
+
+@query
+def q_maxabs_style(spark, sf):
+    st = _styled_pages(spark, sf)
+    scales = {f: st.agg(F.max(F.abs(f))).scalar() for f in P.STYLE_FEATURES}
+    return _r6(st.select("row_id", *[
+        (F.col(f) / F.when(scales[f] == 0, F.lit(1.0)).otherwise(scales[f])).alias(f) for f in P.STYLE_FEATURES]))
+
+
+@query
+def q_standardize_style(spark, sf):
+    st = _styled_pages(spark, sf)
+    cols = []
+    for f in P.STYLE_FEATURES:
+        mu = st.agg(F.avg(f)).scalar()
+        sd = st.agg(F.stddev_pop(f)).scalar()
+        cols.append(((F.col(f) - mu) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(f))
+    return _r6(st.select("row_id", *cols))
+
+
+# --- metrics over a fixed prediction rule --------------------------------------
+
+def _fixed(spark, sf):
+    return X.fixed_predictions(spark, sf)
+
+
+@query
+def q_accuracy(spark, sf):
+    return _r6(M.accuracy(_fixed(spark, sf)))
+
+
+@query
+def q_macro_f1(spark, sf):
+    return _r6(M.macro_f1(_fixed(spark, sf)))
+
+
+@query
+def q_classification_report(spark, sf):
+    return _r6(M.classification_report(_fixed(spark, sf), names={0: "0", 1: "1"}))
+
+
+@query
+def q_roc_points(spark, sf):
+    return _r6(M.roc_points(_fixed(spark, sf)))
+
+
+@query
+def q_auc(spark, sf):
+    return _r6(M.auc(_fixed(spark, sf)))
+
+
+@query
+def q_robust_accuracy(spark, sf):
+    x = _fixed(spark, sf).select(F.when(F.col("prediction") == 1, F.lit("A")).otherwise(F.lit("B")).alias("prediction"),
+                                 "label")
+    return _r6(M.robust_accuracy(x, "prediction", "label"))
+
+
+@query
+def q_cv_metrics(spark, sf):
+    folds = C.stratified_folds(_fixed(spark, sf))
+    return M.fold_summary(folds, "fixed_rule")
+
+
+def _multi_scores(spark, sf):
+    lab = X.read(spark, sf, "labels").select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"))
+    return lab.select("row_id", "label", *[
+        ((F.col("row_id") * m) % 101 / F.lit(100.0)).alias(f"m{m}") for m in SCORE_MULTIPLIERS])
+
+
+@query
+def q_tuning_summary(spark, sf):
+    sc = _multi_scores(spark, sf)
+    models = F.explode(F.array(*[F.struct(F.lit(f"m{m}").alias("model"), F.col(f"m{m}").alias("score"))
+                                 for m in SCORE_MULTIPLIERS])).alias("ms")
+    long = sc.select("row_id", "label", models).select("row_id", "label", "ms.model", "ms.score")
+    grid = long.select("*", F.explode(F.array(*[F.lit(t) for t in THRESHOLDS])).alias("threshold"))
+    grid = grid.withColumn("prediction", (F.col("score") >= F.col("threshold")).cast("int"))
+    f1 = M.macro_f1(grid, group_cols=["model", "threshold"])
+    best = f1.groupBy("model").agg(F.max(F.struct(F.col("macro_f1"), (-F.col("threshold")).alias("nt"))).alias("b"))
+    best = best.select("model", F.col("b.macro_f1").alias("best_f1"), (-F.col("b.nt")).alias("best_threshold"))
+    before = f1.where(F.col("threshold") == 0.5).select("model", F.col("macro_f1").alias("before_f1"))
+    out = best.join(before, "model", "left")
+    params = F.to_json(F.create_map(F.lit("threshold"), F.col("best_threshold").cast("string")))
+    return _r6(out.select("model", "before_f1", "best_f1", (F.col("best_f1") - F.col("before_f1")).alias("delta"),
+                          params.alias("best_params")))
+
+
+@query
+def q_soft_vote(spark, sf):
+    sc = _multi_scores(spark, sf)
+    avg = sum(F.col(f"m{m}") for m in SCORE_MULTIPLIERS) / len(SCORE_MULTIPLIERS)
+    return _r6(sc.select("row_id", avg.alias("avg_score"), (avg > 0.5).cast("int").alias("prediction")))
+
+
+@query
+def q_nb_counts(spark, sf):
+    tr = X.doc_train(spark, sf)
+    tc = V.term_counts(tr, T.word_tokens(T.clean_headline(F.col("headline"))))
+    per = tc.join(tr.select("row_id", "label"), "row_id").groupBy("label", "term").agg(F.sum("tf").alias("n_ct"))
+    terms = per.select("term").distinct()
+    n_terms = terms.agg(F.count(F.lit(1))).scalar()
+    dense = (terms.select("term", F.explode(F.array(F.lit(0), F.lit(1))).alias("label"))
+             .join(per, ["label", "term"], "left").withColumn("n_ct", F.coalesce(F.col("n_ct"), F.lit(0))))
+    n_c = per.groupBy("label").agg(F.sum("n_ct").alias("n_c"))
+    out = dense.join(n_c, "label", "left").select(
+        "label", "term", F.log((F.col("n_ct") + 1) / (F.coalesce(F.col("n_c"), F.lit(0)) + n_terms)).alias("log_prob"))
+    return _r6(out)

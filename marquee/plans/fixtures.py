@@ -15,6 +15,8 @@ from marquee.sources.pages import page_headlines
 
 PAGE_MARKER = ".example.com"   # class A pages
 CLASS_A, CLASS_B = "A", "B"
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+STRIDE = 1_000_000_000   # row_id offset of the re-punctuated copies
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,32 +29,31 @@ def page_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_headlines(pages).select("row_id", "url", "headline")
 
 
-def doc_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, headline, source): first line of each document; A = English."""
+def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, headline, source): the whole text of each document; A = English."""
     d = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return d.select(
-        F.col("doc_id").alias("row_id"),
-        F.substring_index(F.col("text"), "\n", 1).alias("headline"),
+        F.col("doc_id").alias("row_id"), F.col("text").alias("headline"),
         F.when(F.col("lang") == "en", F.lit(CLASS_A)).otherwise(F.lit(CLASS_B)).alias("source"))
 
 
 def doc_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, headline, label): first lines of 25-140 chars, label = English."""
-    h = doc_heads(spark, sf_dir)
-    return (h.where(F.length("headline").between(25, 140))
-            .select("row_id", "headline", (F.col("source") == CLASS_A).cast("int").alias("label")))
+    """(row_id, headline, label): whole documents, label = English (learnable)."""
+    h = doc_texts(spark, sf_dir)
+    return h.select("row_id", "headline", (F.col("source") == CLASS_A).cast("int").alias("label"))
 
 
 def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, headline, label): documents joined to labels, label = quality."""
-    h = doc_heads(spark, sf_dir)
+    h = doc_texts(spark, sf_dir)
     lab = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"))
     return h.join(lab, "row_id").select("row_id", "headline", "label")
 
 
 def base_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, url, headline): even rows, with a URL that carries the class."""
-    h = doc_heads(spark, sf_dir).where(F.col("row_id") % 2 == 0)
+    """(row_id, url, headline): even-numbered documents, with a URL that carries
+    the class. Base and new together cover every document."""
+    h = doc_texts(spark, sf_dir).where(F.col("row_id") % 2 == 0)
     url = F.concat(F.when(F.col("source") == CLASS_A, F.lit("https://www.FoxNews.com/a/"))
                    .otherwise(F.lit("https://www.nbcnews.com/a/")), F.col("row_id").cast("string"))
     return h.select("row_id", url.alias("url"), "headline")
@@ -61,11 +62,12 @@ def base_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def new_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, headline, source): odd rows plus upper-cased, re-punctuated
     copies of every base row (these must fall to the normalized anti join)."""
-    h = doc_heads(spark, sf_dir)
+    h = doc_texts(spark, sf_dir)
     odd = h.where(F.col("row_id") % 2 == 1).select("row_id", "headline", "source")
     copies = h.where(F.col("row_id") % 2 == 0).select(
-        (F.col("row_id") + F.lit(1_000_000_000)).alias("row_id"),
-        F.concat(F.upper(F.regexp_replace("headline", r"[.,]", "")), F.lit("!")).alias("headline"),
+        (F.col("row_id") + F.lit(STRIDE)).alias("row_id"),
+        F.concat(F.translate(F.regexp_replace("headline", r"[.,]", ""), ASCII_LOWER, ASCII_LOWER.upper()),
+                 F.lit("!")).alias("headline"),
         "source")
     return odd.unionByName(copies)
 
