@@ -84,3 +84,10 @@ def knn_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     """(train, test) of embeddings: test = vec_id % 5 == 0."""
     e = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return e.where(F.col("vec_id") % 5 != 0), e.where(F.col("vec_id") % 5 == 0)
+
+
+def turn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, headline, label): every conversation turn, label = assistant turn."""
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), F.col("text").alias("headline"),
+                    (F.col("role") == "assistant").cast("int").alias("label"))

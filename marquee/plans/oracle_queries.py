@@ -423,3 +423,12 @@ SQL["nb_counts"] = (
     "LEFT JOIN per p ON p.term = t.term AND p.label = l.label) "
     "SELECT d.label, d.term, round(ln((n_ct + 1) / (coalesce(n_c, 0) + (SELECT count(*) FROM terms))), 6) AS log_prob "
     "FROM dense d LEFT JOIN nc USING (label)")
+
+SQL["knn_classify"] = (
+    "WITH tr AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings WHERE vec_id % 5 <> 0), "
+    "te AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 5 = 0), "
+    "d AS (SELECT te.vec_id AS q, tr.vec_id AS t, tr.label, list_distance(te.e, tr.e) AS dist FROM te, tr), "
+    "top AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY q ORDER BY dist, t) <= 5), "
+    "votes AS (SELECT q, label, count(*) AS n FROM top GROUP BY q, label) "
+    "SELECT q AS vec_id, CAST(label AS INT) AS prediction FROM votes "
+    "QUALIFY row_number() OVER (PARTITION BY q ORDER BY n DESC, label) = 1")

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_CKPT: str | None = None
+_SHIPPED: set[str] = set()
 
 
 def get_session(master: str | None = None, app: str = "marquee",
@@ -49,9 +50,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = _LOCAL_CKPT
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
+    ship_package(spark, d)
     return d
 
 
+def ship_package(spark: SparkSession, shared_dir: str) -> None:
+    """Make ``marquee`` importable in Python workers (once per application).
+
+    Functions handed to Spark (UDF helpers, partition kernels) are pickled by
+    reference to this package. The zip is written to the shared folder and
+    distributed with ``addPyFile``; a deployment that already ships the
+    package with ``--py-files`` can set ``marquee.shipped=true``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED or spark.conf.get("marquee.shipped", "false") == "true":
+        return
+    import io
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    local = shared_dir[len("file:"):] if shared_dir.startswith("file:") else shared_dir
+    if "://" in local:
+        tmp = tempfile.mkdtemp(prefix="marquee-pkg-")
+        target = os.path.join(tmp, "marquee.zip")
+    else:
+        os.makedirs(local, exist_ok=True)
+        target = os.path.join(local, f"marquee-{app}-{uuid.uuid4().hex[:8]}.zip")
+    with open(target, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
