@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, MaxAbsScaler,
                                 Normalizer, VectorAssembler)
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -121,20 +121,12 @@ class DropColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return df.drop(*self.getOrDefault("cols"))
 
 
-@F.udf(VectorUDT())
-def _sublinear_udf(v):
-    if v is None:
-        return None
-    sv = v if isinstance(v, SparseVector) else v.toSparse() if hasattr(v, "toSparse") else SparseVector(
-        v.size, np.nonzero(v.toArray())[0], v.toArray()[np.nonzero(v.toArray())[0]])
-    return SparseVector(sv.size, sv.indices, 1.0 + np.log(sv.values))
-
-
 class SublinearTf(_ColStage):
-    """tf -> 1 + ln(tf) on the stored (non-zero) entries of a sparse vector.
+    """tf -> 1 + ln(tf) on non-zero entries, as native array functions.
 
-    The one Python step of the featurizer; only pipelines with sublinear tf
-    use it.
+    The vector passes through a dense array of vocabulary size (at most
+    ``maxFeatures``) inside this stage; ``VectorAssembler`` compresses the
+    assembled features back to sparse.
     """
 
     @keyword_only
@@ -143,7 +135,8 @@ class SublinearTf(_ColStage):
         self._set(**self._input_kwargs)
 
     def _expr(self, c):
-        return _sublinear_udf(c)
+        return array_to_vector(F.transform(vector_to_array(c), lambda x: F.when(x > 0, 1.0 + F.log(x))
+                                           .otherwise(F.lit(0.0))))
 
 
 class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):

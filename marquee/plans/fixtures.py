@@ -19,8 +19,20 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 STRIDE = 1_000_000_000   # row_id offset of the re-punctuated copies
 
 
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan a landed table. Text tables are CPU-bound (regex per row); when a
+    scan yields fewer partitions than cores (a single row group), rows are
+    spread round-robin first. Large inputs already split into many file
+    partitions and skip this."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if name in TEXT_TABLES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def page_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
