@@ -605,3 +605,12 @@ def q_nb_counts(spark, sf):
     out = dense.join(n_c, "label", "left").select(
         "label", "term", F.log((F.col("n_ct") + 1) / (F.coalesce(F.col("n_c"), F.lit(0)) + n_terms)).alias("log_prob"))
     return _r6(out)
+
+
+@query
+def q_rss_titles(spark, sf):
+    from marquee.sources.feeds import feed_from_lines, feed_titles
+    d = X.read(spark, sf, "documents").select("doc_id", "text", "lang")
+    suffix = F.when(F.col("lang") == "en", F.lit(P.TITLE_SUFFIXES[0])).otherwise(F.lit(P.TITLE_SUFFIXES[3]))
+    feeds = d.select(F.col("doc_id").alias("row_id"), feed_from_lines(F.col("text"), suffix).alias("feed"))
+    return feed_titles(feeds)

@@ -432,3 +432,13 @@ SQL["knn_classify"] = (
     "votes AS (SELECT q, label, count(*) AS n FROM top GROUP BY q, label) "
     "SELECT q AS vec_id, CAST(label AS INT) AS prediction FROM votes "
     "QUALIFY row_number() OVER (PARTITION BY q ORDER BY n DESC, label) = 1")
+
+from marquee.sources.feeds import XML_INVALID  # noqa: E402
+
+SQL["rss_titles"] = (
+    f"WITH l AS (SELECT doc_id AS row_id, unnest(string_split({O.rx_replace(O.rx_replace('text', chr(13), ''), XML_INVALID, '')}, "
+    f"chr(10))) AS line, lang FROM documents), "
+    f"t AS (SELECT row_id, line || CASE WHEN lang = 'en' THEN {q(P.TITLE_SUFFIXES[0])} ELSE {q(P.TITLE_SUFFIXES[3])} END "
+    "AS title FROM l WHERE line <> ''), "
+    f"s AS (SELECT row_id, {O.strip_title_suffix('title')} AS headline FROM t) "
+    "SELECT row_id, headline FROM s WHERE headline <> ''")
