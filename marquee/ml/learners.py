@@ -90,14 +90,16 @@ class ScaledLinearSVC(_ScaledC):
 
 
 def random_forest(n_estimators=100, max_depth=None, max_features="sqrt", min_samples_leaf=1, seed=P.SEED):
-    """``max_depth=None`` maps to 30, MLlib's hard cap."""
+    """``max_depth=None`` maps to 30, MLlib's hard cap. Node statistics get a
+    1 GB budget per pass and node ids are cached (checkpointed every 10
+    levels) so deep trees need fewer passes over the data."""
     return RandomForestClassifier(numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth,
                                   featureSubsetStrategy=max_features, minInstancesPerNode=min_samples_leaf,
-                                  seed=seed)
+                                  seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
 
 
 def decision_tree(seed=P.SEED):
-    return DecisionTreeClassifier(maxDepth=30, seed=seed)
+    return DecisionTreeClassifier(maxDepth=30, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def multinomial_nb(alpha=1.0):
@@ -118,6 +120,19 @@ def _as_sparse(v):
     return nz, a[nz]
 
 
+def _csr_block(rows):
+    """Rows of (vector, label) -> one (indptr, indices, values, labels) block."""
+    indptr, idx, vals, ys = [0], [], [], []
+    for r in rows:
+        i, v = _as_sparse(r[0])
+        idx.append(np.asarray(i, dtype=np.int64))
+        vals.append(np.asarray(v, dtype=float))
+        indptr.append(indptr[-1] + len(i))
+        ys.append(r[1])
+    cat = (lambda xs, t: np.concatenate(xs).astype(t) if xs else np.zeros(0, dtype=t))
+    yield (np.asarray(indptr, dtype=np.int64), cat(idx, np.int64), cat(vals, float), np.asarray(ys, dtype=float))
+
+
 def _loss_grad(loss: str, z: np.ndarray, y01: np.ndarray):
     """Per-row loss and d loss / d margin for labels in {0,1} (y = 2*y01 - 1)."""
     y = 2.0 * y01 - 1.0
@@ -157,12 +172,12 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         spark = df.sparkSession
         checkpoint_dir(spark)
         data = df.select(self.getFeaturesCol(), F.col(self.getLabelCol()).cast("double").alias("_y")).checkpoint()
-        rdd = data.rdd.map(lambda r: (_as_sparse(r[0]), r[1], r[0].size))
-        first = data.first()
-        d = first[0].size
-        stats = rdd.map(lambda t: (1, float(np.dot(t[0][1], t[0][1])))).treeAggregate(
+        d = data.first()[0].size
+        # one CSR block per partition, cached (recomputed from the checkpoint if lost)
+        blocks = data.rdd.mapPartitions(_csr_block).filter(lambda b: b[3].size > 0).cache()
+        n, max_sq = blocks.map(lambda b: (b[3].size, float(np.max(np.add.reduceat(b[2] * b[2], b[0][:-1]))
+                                                             if b[2].size else 0.0))).treeAggregate(
             (0, 0.0), lambda a, b: (a[0] + b[0], max(a[1], b[1])), lambda a, b: (a[0] + b[0], max(a[1], b[1])))
-        n, max_sq = stats
         loss = self.getOrDefault("loss")
         alpha = self.getOrDefault("alpha")
         pen = self.getOrDefault("penalty")
@@ -175,19 +190,21 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         def grad_at(wb):
             bw = sc.broadcast(wb)
 
-            def part(it):
+            def block_grad(b):
+                indptr, idx, vals, y = b
                 w_ = bw.value
-                g = np.zeros(d + 1)
-                tot = 0.0
-                for (idx, vals), y, _ in it:
-                    z = float(np.dot(w_[idx], vals)) + w_[d]
-                    l_, gz = _loss_grad(loss, np.array([z]), np.array([y]))
-                    tot += float(l_[0])
-                    g[idx] += gz[0] * vals
-                    g[d] += gz[0]
-                yield (g, tot)
-
-            g, tot = rdd.mapPartitions(part).treeAggregate(
+                lens = np.diff(indptr)
+                prod = vals * w_[idx]
+                z = np.zeros(y.size)
+                nz = lens > 0
+                z[nz] = np.add.reduceat(prod, indptr[:-1][nz]) if prod.size else 0.0
+                z += w_[d]
+                l_, gz = _loss_grad(loss, z, y)
+                g = np.bincount(idx, weights=vals * np.repeat(gz, lens), minlength=d + 1).astype(float)
+                g[d] += gz.sum()
+                return g, float(l_.sum())
+
+            g, tot = blocks.map(block_grad).treeAggregate(
                 (np.zeros(d + 1), 0.0), lambda a, b: (a[0] + b[0], a[1] + b[1]),
                 lambda a, b: (a[0] + b[0], a[1] + b[1]))
             bw.unpersist()
@@ -209,6 +226,7 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
             if prev_obj is not None and abs(prev_obj - obj) <= self.getOrDefault("tol") * max(abs(prev_obj), 1.0):
                 break
             prev_obj = obj
+        blocks.unpersist()
         model = LinearScoreModel(coefficients=w[:d].tolist(), intercept=float(w[d]), loss=loss,
                                  featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol())
         return model

@@ -39,10 +39,10 @@ def hash_bucket(order_key: Column) -> Column:
 def id_bucket(df: DataFrame, id_col: str, n_buckets: int = 1 << 16) -> DataFrame:
     """Adds ``_bucket``: equal-width slices of ``id_col`` (monotone in it).
 
-    The bounds are scalar subqueries (one partial/final aggregate each).
+    The bounds are one scalar subquery (a single partial/final aggregate).
     """
-    lo = df.agg(F.min(id_col)).scalar()
-    hi = df.agg(F.max(id_col)).scalar()
+    bounds = df.agg(F.struct(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = F.greatest(F.ceil((hi - lo + 1) / F.lit(n_buckets)), F.lit(1))
     return df.withColumn("_bucket", F.floor((F.col(id_col) - lo) / width).cast("long"))
 

@@ -73,11 +73,14 @@ def vocab_index(tokens: DataFrame, min_freq: int = P.VOCAB_MIN_FREQ) -> DataFram
 
     ``tokens`` is (row_id, pos, token); first seen = smallest (row_id, pos).
     Ranks are computed with bucketed prefix sums over the first row id.
+    Needs a checkpoint folder (``session.checkpoint_dir``).
     """
     first = tokens.groupBy("token").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct("row_id", "pos")).alias("_first")).where(F.col("n") >= min_freq)
     first = first.select("token", "n", F.col("_first.row_id").alias("_r"), F.col("_first.pos").alias("_p"))
+    # the vocabulary is small; materialise it once so ranking does not re-run tokenisation
+    first = first.checkpoint()
     ranked = R.positions(R.id_bucket(first, "_r"), [], ["_r", "_p"]).drop("_bucket")
     return ranked.select("token", (F.col("_pos") + 2).cast("int").alias("idx"), "n")
 

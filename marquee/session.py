@@ -13,7 +13,7 @@ _SHIPPED: set[str] = set()
 
 
 def get_session(master: str | None = None, app: str = "marquee",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, driver_memory: str = "16g") -> SparkSession:
     """Build (or reuse) a session with AQE on, UI off and UTC time.
 
     ``master`` is only set for local runs and tests; on a cluster the
@@ -21,7 +21,8 @@ def get_session(master: str | None = None, app: str = "marquee",
     """
     b = SparkSession.builder.appName(app)
     if master:
-        b = b.master(master)
+        # local mode: the driver JVM is the only executor, size its heap
+        b = b.master(master).config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
