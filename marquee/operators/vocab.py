@@ -58,9 +58,9 @@ def tfidf(tc: DataFrame, vocab_idf: DataFrame, sublinear: bool = False) -> DataF
     """(row_id, term, idx, weight): tf (or 1 + ln tf) x idf, L2-normalized per row."""
     tf = (1 + F.log(F.col("tf"))) if sublinear else F.col("tf").cast("double")
     x = tc.join(vocab_idf.select("term", "idx", "idf"), "term").withColumn("_w", tf * F.col("idf"))
-    norms = x.groupBy("row_id").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return (x.join(norms, "row_id")
-            .select("row_id", "term", "idx", (F.col("_w") / F.col("_norm")).alias("weight")))
+    # per-row norm as a window over one row's terms (bounded by its length)
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy("row_id")))
+    return x.select("row_id", "term", "idx", (F.col("_w") / norm).alias("weight"))
 
 
 def token_frequency(tokens: DataFrame, min_freq: int = P.VOCAB_MIN_FREQ) -> DataFrame:
