@@ -16,7 +16,7 @@ from marquee.functions.style import style_columns
 from marquee.operators import filters as FL
 from marquee.plans import fixtures as X
 from marquee.plans.prepare import prepare_headlines
-from marquee.session import scratch_path
+from marquee.session import checkpoint_dir, scratch_path
 from marquee.sources.headlines import read_headlines, write_headlines
 
 QUERIES: dict = {}
@@ -434,13 +434,25 @@ def _train_split(spark, sf):
 
 
 def _bigrams(df):
-    return T.with_ngrams(df, T.word_tokens(T.clean_headline(F.col("headline"))), 1, 2)
+    return T.with_ngrams(df, T.word_tokens(T.clean_headline(F.col("headline"))), 1, 2, keep=("row_id", "is_test"))
 
 
-def _train_vocab(spark, sf):
-    tr = _train_split(spark, sf).where(~F.col("is_test"))
-    tc = V.term_counts(_bigrams(tr), F.col("terms"))
-    n_docs = tr.agg(F.count(F.lit(1))).scalar()
+def _all_counts(spark, sf):
+    """(row_id, is_test, term, tf) for every row, computed once and checkpointed
+    (term counts are far smaller than the n-gram arrays): the vocabulary is
+    fitted on the training part, weights cover all rows."""
+    checkpoint_dir(spark)
+    grams = _bigrams(_train_split(spark, sf))
+    return (V.explode_terms(grams.withColumn("_k", F.struct("row_id", "is_test")), F.col("terms"), "_k")
+            .groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+            .select(F.col("row_id.row_id").alias("row_id"), F.col("row_id.is_test").alias("is_test"), "term", "tf")
+            .checkpoint())
+
+
+def _train_vocab(spark, sf, counts=None):
+    counts = _all_counts(spark, sf) if counts is None else counts
+    tc = counts.where(~F.col("is_test"))
+    n_docs = _train_split(spark, sf).where(~F.col("is_test")).agg(F.count(F.lit(1))).scalar()
     return V.idf(V.vocabulary(tc, max_features=5000, min_df=2), n_docs)
 
 
@@ -471,27 +483,32 @@ def q_idf(spark, sf):
 
 @query
 def q_tfidf_long(spark, sf):
-    tc = V.term_counts(_bigrams(X.doc_train(spark, sf)), F.col("terms"))
-    return _r6(V.tfidf(tc, _train_vocab(spark, sf), sublinear=True).select("row_id", "term", "weight"))
+    counts = _all_counts(spark, sf)
+    tc = counts.select("row_id", "term", "tf")
+    return _r6(V.tfidf(tc, _train_vocab(spark, sf, counts), sublinear=True).select("row_id", "term", "weight"))
 
 
-def _train_ws_tokens(spark, sf, only_train: bool):
+def _ws_tokens_all(spark, sf):
+    """(row_id, is_test, pos, token) for every row, computed once and checkpointed."""
+    checkpoint_dir(spark)
     x = _train_split(spark, sf)
-    if only_train:
-        x = x.where(~F.col("is_test"))
-    return _pos_tokens(x, T.ws_tokens(T.clean_headline(F.col("headline"))))
+    toks = x.select("row_id", "is_test", F.posexplode_outer(T.ws_tokens(T.clean_headline(F.col("headline"))))
+                    .alias("pos", "token"))
+    return toks.where(F.col("token").isNotNull()).select(
+        "row_id", "is_test", F.col("pos").cast("long").alias("pos"), "token").checkpoint()
 
 
 @query
 def q_vocab_index(spark, sf):
-    return V.vocab_index(_train_ws_tokens(spark, sf, True))
+    return V.vocab_index(_ws_tokens_all(spark, sf).where(~F.col("is_test")).drop("is_test"))
 
 
 @query
 def q_encode_tokens(spark, sf):
-    index = V.vocab_index(_train_ws_tokens(spark, sf, True))
+    toks = _ws_tokens_all(spark, sf)
+    index = V.vocab_index(toks.where(~F.col("is_test")).drop("is_test"))
     ids = X.doc_train(spark, sf).select("row_id")
-    return V.encode(_train_ws_tokens(spark, sf, False), index, P.SEQ_LEN, ids)
+    return V.encode(toks.drop("is_test"), index, P.SEQ_LEN, ids)
 
 
 def _styled_pages(spark, sf):
