@@ -131,7 +131,7 @@ def q_knn_classify(spark, sf):
 def _oof_parallel(estimator, folded, k=K_FOLDS):
     """Fold fits submitted from threads: small jobs of several folds share the cluster."""
     def one(f):
-        m = estimator.fit(folded.where(F.col("fold") != f))
+        m = estimator.copy().fit(folded.where(F.col("fold") != f))
         p = m.transform(folded.where(F.col("fold") == f))
         return p.select("fold", "label", F.col("prediction").cast("int").alias("prediction")).checkpoint()
 
