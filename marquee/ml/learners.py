@@ -31,7 +31,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import DenseVector, SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable

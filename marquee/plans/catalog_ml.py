@@ -158,22 +158,21 @@ def q_pipeline_sweep(spark, sf):
     return out
 
 
-@query
-def q_grid_search_lr(spark, sf):
-    """C grid with features fitted once per fold (not once per grid point)."""
+def _grid_features_once(spark, sf, grid: list[dict], make_clf) -> DataFrame:
+    """Cross-validated macro-F1 per grid point with the feature pipeline fitted
+    once per fold (the reference refits it for every grid point)."""
     checkpoint_dir(spark)
     train = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
     folded = stratified_folds(train, K_FOLDS).checkpoint()
-    grid = [0.01, 0.1, 1.0, 10.0, 100.0]
 
     def fold_preds(f):
         fm = FT.build_pipeline(FT.SHIPPED).fit(folded.where(F.col("fold") != f))
         tr = fm.transform(folded.where(F.col("fold") != f)).select("label", "features").checkpoint()
         te = fm.transform(folded.where(F.col("fold") == f)).select("label", "features").checkpoint()
         outs = []
-        for c in grid:
-            pr = L.ScaledLogisticRegression(C=c, maxIter=1000).fit(tr).transform(te)
-            outs.append(pr.select(F.lit(c).alias("C"), F.lit(f).alias("fold"), "label",
+        for gi, params in enumerate(grid):
+            pr = make_clf(params).fit(tr).transform(te)
+            outs.append(pr.select(F.lit(gi).alias("grid_index"), F.lit(f).alias("fold"), "label",
                                   F.col("prediction").cast("int").alias("prediction")))
         u = outs[0]
         for o in outs[1:]:
@@ -185,9 +184,31 @@ def q_grid_search_lr(spark, sf):
     allp = parts[0]
     for p_ in parts[1:]:
         allp = allp.unionByName(p_)
-    per = M.macro_f1(allp, group_cols=["C", "fold"])
-    return per.groupBy("C").agg(F.round(F.avg("macro_f1"), 4).alias("f1_mean"),
-                                F.round(F.stddev_pop("macro_f1"), 4).alias("f1_std"))
+    per = M.macro_f1(allp, group_cols=["grid_index", "fold"])
+    params = spark.createDataFrame([(i, {k: str(v) for k, v in g.items()}) for i, g in enumerate(grid)],
+                                   "grid_index int, params map<string,string>")
+    return (per.groupBy("grid_index").agg(F.round(F.avg("macro_f1"), 4).alias("f1_mean"),
+                                          F.round(F.stddev_pop("macro_f1"), 4).alias("f1_std"))
+            .join(params, "grid_index"))
+
+
+# The reference's grids (C x solver for LR collapses to C: solvers are internals).
+LR_GRID = [{"C": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0)]
+SVC_GRID = [{"C": c, "loss": loss} for c in (0.01, 0.1, 1.0, 10.0, 100.0) for loss in ("hinge", "squared_hinge")]
+
+
+@query
+def q_grid_search_lr(spark, sf):
+    return _grid_features_once(spark, sf, LR_GRID, lambda p: L.ScaledLogisticRegression(C=p["C"], maxIter=1000))
+
+
+@query
+def q_grid_search_svc(spark, sf):
+    def make(p):
+        if p["loss"] == "hinge":
+            return L.ScaledLinearSVC(C=p["C"], maxIter=2000)
+        return L.CSquaredHinge(C=p["C"], maxIter=200)
+    return _grid_features_once(spark, sf, SVC_GRID, make)
 
 
 def _top_features(spark, sf, cfg: FT.FeatureConfig, top: int = 10) -> DataFrame:
@@ -319,7 +340,7 @@ def q_mlp_hybrid(spark, sf):
 
 ML_QUERIES = [k for k in QUERIES if k in {
     "train_lr", "train_svc", "train_svc_squared", "train_sgd", "train_rf", "train_dt", "train_adaboost",
-    "train_nb", "train_cnb", "train_knn", "pipeline_sweep", "grid_search_lr", "top_features",
+    "train_nb", "train_cnb", "train_knn", "pipeline_sweep", "grid_search_lr", "grid_search_svc", "top_features",
     "top_features_side_by_side", "hybrid_features", "ensemble_soft3", "calibrate_svc", "ensemble_soft4",
     "stacking", "final_eval", "score_headlines", "score_loaded_model",
     "pooled_embeddings", "mlp_text", "mlp_hybrid"}]
