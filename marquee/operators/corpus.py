@@ -38,8 +38,12 @@ def dedupe_normalized(df: DataFrame, col: str = "headline") -> DataFrame:
 
 
 def anti_join_base(new: DataFrame, base: DataFrame, col: str = "headline") -> DataFrame:
-    """Rows of ``new`` whose normalized key is absent from ``base``."""
-    base_keys = base.select(T.dedupe_key(F.col(col)).alias("_key"))
+    """Rows of ``new`` whose normalized key is absent from ``base``.
+
+    Base keys are made distinct first (combined map-side), so a hot base key
+    ships once per task; AQE broadcasts the key set when it is small and
+    splits skewed partitions of ``new`` otherwise."""
+    base_keys = base.select(T.dedupe_key(F.col(col)).alias("_key")).distinct()
     return (new.withColumn("_key", T.dedupe_key(F.col(col)))
             .join(base_keys, "_key", "left_anti").drop("_key"))
 

@@ -45,7 +45,12 @@ def vocabulary(tc: DataFrame, max_features: int | None = None, min_df: int = 1)
         stats = stats.where(F.col("df") >= min_df)
     if max_features is not None:
         stats = stats.orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
-    return stats.withColumn("idx", (F.row_number().over(W.orderBy("term")) - 1).cast("int"))
+    # alphabetical index without a global window: bucket = first two UTF-8 bytes
+    # (monotone in Spark's binary string order), then bucketed positions
+    first2 = F.rpad(F.hex(F.substring(F.encode(F.col("term"), "UTF-8"), 1, 2)), 4, "0")
+    keyed = stats.withColumn("_bucket", F.conv(first2, 16, 10).cast("int"))
+    ranked = R.positions(keyed, [], ["term"])
+    return ranked.select(*stats.columns, F.col("_pos").cast("int").alias("idx"))
 
 
 def idf(vocab: DataFrame, n_docs: Column | int) -> DataFrame:
