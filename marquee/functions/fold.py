@@ -8,7 +8,8 @@ dropped), so it is a character table derived once from ``unicodedata``:
   (a hash lookup, codegen'd);
 * a code point that folds to several characters (``½`` -> ``1/2``) -> a
   map lookup, evaluated only for rows that contain one;
-* everything else outside ASCII -> deleted by a regex.
+* everything else outside ASCII -> deleted by a regex;
+* rows without any non-ASCII character skip all of it.
 """
 
 from __future__ import annotations
@@ -61,7 +62,9 @@ def ascii_fold(c: Column) -> Column:
                         lambda ch: F.coalesce(F.try_element_at(mapping, ch), ch)),
             ""),
     ).otherwise(c)
-    return F.regexp_replace(F.translate(expanded, src, dst), _NON_ASCII, "")
+    folded = F.regexp_replace(F.translate(expanded, src, dst), _NON_ASCII, "")
+    # ASCII-only text (the common case) is returned as is without table lookups
+    return F.when(c.rlike(_NON_ASCII), folded).otherwise(c)
 
 
 def python_fold(s: str) -> str:

@@ -157,6 +157,12 @@ def word_ngrams(tokens, n_min: int = 1, n_max: int = 2) -> Column:
         if n == 1:
             parts.append(t)
             continue
+        if n == 2:
+            # one pass over adjacent pairs
+            parts.append(F.when(F.size(t) >= 2, F.zip_with(
+                F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t) - 1),
+                lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>")))
+            continue
         parts.append(F.when(
             F.size(t) >= n,
             F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)),
