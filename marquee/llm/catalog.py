@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
-from marquee.llm.common import crc_mod, table
+from marquee.llm import bpe, decontaminate, exact_dedup, language_id, licenses, quality, simhash, toxicity, url_filters
+from marquee.llm.common import crc_mod, ready, table
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -24,6 +24,11 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages"), url_filters.rules_table(ready(spark)))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +40,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(decontaminate.ITEMS, ",").cast("binary"), 256).alias("items_sha256"), bad.alias("contaminated"))
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,16 +64,32 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encoded(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text"))
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs)
+    return language_id.predicted(docs.drop("lang"), model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.dedup_decisions(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", F.size(licenses._IDS).cast("long").alias("n_sentences"), F.array_join(licenses._IDS, " ").alias("sentence_ids"),
+        F.size(licenses.FOUND).cast("long").alias("n_licences"), F.array_join(licenses.FOUND, ",").alias("licences"))
+
+
+ORACLE_SQL["op2_url_filters"] = url_filters.ORACLE_SQL
+ORACLE_SQL["op10_license_scan"] = licenses.oracle_sql()
 ORACLE_SQL["op9_exact_dedup"] = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW g AS (PARTITION BY norm)"""
-
-_WORDS = r"list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '')"

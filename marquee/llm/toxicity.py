@@ -2,15 +2,16 @@
 
 Training, on labelled rows outside the held-out part:
 
-1. Spark counts in how many toxic and ordinary documents each word occurs
-   (all rows of the dictionary part). The toxic dictionary holds the words
-   that are far more frequent in toxic documents, the ordinary dictionary the
-   most frequent words of ordinary ones, each up to a fixed size and the
-   strongest last, where references cost least. Both are zstandard
-   dictionaries of raw content.
-2. The other labelled rows calibrate. A window (one word, long words in cuts
-   of ``WINDOW`` bytes) is compressed behind a fixed carrier with either
-   dictionary. The pair of compressed lengths, with the length of the window,
+1. Spark counts in how many ordinary documents, and between how many
+   different neighbours in toxic documents, each word occurs (all rows of the
+   dictionary part; copies of a document add no new neighbours). The toxic
+   dictionary holds the words that are far more frequent in toxic documents,
+   the ordinary dictionary the most frequent words of ordinary ones, each up
+   to a fixed size and the strongest last, where references cost least. Both
+   are zstandard dictionaries of raw content.
+2. The other labelled rows, each text once, calibrate. A window (one word, written twice; long words
+   in cuts of ``WINDOW`` bytes) is compressed behind a fixed carrier with
+   either dictionary. The pair of compressed lengths, with the length of the window,
    is a cell; Spark counts the toxic and ordinary documents of every cell and
    the cell gets the log-ratio of the two rates.
 3. A document is as toxic as its most toxic window. The threshold with the
@@ -32,16 +33,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 import zstandard as zs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from marquee.llm.common import BROADCAST_ROWS, P, crc_mod, ready
+from marquee.llm.common import BROADCAST_ROWS, P, crc_mod, materialised, ready
 
 WINDOW = 32
 TOXIC_BYTES, ORDINARY_BYTES = 32 << 10, 128 << 10
-#: A toxic word: in at least so many toxic documents, and so many times as frequent there as in ordinary ones.
+#: A toxic word: between at least so many different neighbours in toxic documents, and so many times as frequent there as in ordinary ones.
 LEAST, TIMES = 3, 20
 THRESHOLD = 0.3
 #: One labelled row in so many calibrates; the rest makes the dictionaries.
@@ -52,19 +54,22 @@ MEMORY = 700_000
 
 _LETTERS = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 _COMPRESS = zs.ZstdCompressionParameters(
-    window_log=18, hash_log=17, chain_log=17, search_log=6, min_match=3, target_length=64,
-    strategy=zs.STRATEGY_BTULTRA2, write_content_size=False, write_checksum=False, write_dict_id=False)
+    window_log=19, hash_log=15, chain_log=15, search_log=4, min_match=3, target_length=64,
+    strategy=zs.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def windows(text: str | None) -> set[bytes]:
-    """The distinct windows of a whole text."""
-    ws = set((text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
-    for w in [w for w in ws if len(w) > WINDOW]:
-        ws.discard(w)
-        ws.update(w[i:i + WINDOW] for i in range(0, len(w), WINDOW))
+def in_order(text: str | None) -> list[bytes]:
+    """The windows of a whole text."""
+    ws = (text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+    if max(map(len, ws), default=0) > WINDOW:
+        ws = [w[i:i + WINDOW] for w in ws for i in range(0, len(w), WINDOW)]
     return ws
 
 
+def windows(text: str | None) -> set[bytes]:
+    return set(in_order(text))
+
+
 @dataclass
 class Model:
     toxic: bytes = b""
@@ -73,6 +78,11 @@ class Model:
     threshold: float = math.inf
 
 
+def twice(w: bytes) -> bytes:
+    """A window as dictionaries and lines hold it: written twice, so that a whole match saves a sequence over a part."""
+    return b"%b %b " % (w, w)
+
+
 class Lengths:
     """Compressed lengths of windows with either dictionary, remembered by window."""
 
@@ -91,7 +101,7 @@ class Lengths:
         if got is None:
             if len(self.known) > MEMORY:
                 self.known.clear()
-            line = b"%b %b " % (CARRIER, w)
+            line = b"%b %b" % (CARRIER, twice(w))
             got = (len(self.ordinary.compress(line)) << 12 | len(self.toxic.compress(line)) << 4 | min(len(w), 15))
             self.known[w] = got
         return got
@@ -123,22 +133,24 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    """Rows (word, neighbours, ordinary documents): a row per place in a toxic text, one per word of the others."""
+    counts: Counter = Counter()
 
-    def out():
-        ws = list(counts[0].keys() | counts[1].keys())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ws, pa.binary()), pa.array([counts[1][w] for w in ws], pa.int64()),
-             pa.array([counts[0][w] for w in ws], pa.int64())], ["w", "t", "o"])
+    def out(ws, near, n):
+        return pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array(near, pa.int64()), pa.array(n, pa.int64())], ["w", "near", "o"])
 
     for b in batches:
         for text, y in zip(b.column(0), b.column(1)):
-            counts[1 if y.as_py() == 1 else 0].update(windows(text.as_py()))
-        if len(counts[0]) + len(counts[1]) > 400_000:
-            yield out()
-            counts[0].clear()
-            counts[1].clear()
-    yield out()
+            ws = in_order(text.as_py())
+            if y.as_py() == 1:
+                near = [xxhash.xxh64_intdigest(p + b" " + n) >> 1 for p, n in zip([b"", *ws], [*ws[1:], b""])]
+                yield out(ws, near, [0] * len(ws))
+            else:
+                counts.update(set(ws))
+        if len(counts) > 400_000:
+            yield out(list(counts), [None] * len(counts), list(counts.values()))
+            counts.clear()
+    yield out(list(counts), [None] * len(counts), list(counts.values()))
 
 
 def _count_cells(words):
@@ -179,11 +191,11 @@ def _packed(ranked: list[bytes], size: int) -> bytes:
     """The strongest words that fit, strongest last."""
     out, n = [], 0
     for w in ranked:
-        n += len(w) + 1
+        n += 2 * len(w) + 2
         if n > size:
             break
-        out.append(w)
-    return b" " + b" ".join(reversed(out)) + b" "
+        out.append(twice(w))
+    return b" " + b"".join(reversed(out))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4, held: int = 2,
@@ -191,15 +203,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
     spark = ready(docs.sparkSession)
     rows = labelled(docs, labels, label, mod, held, id_col, text_col)
     part = F.pmod(F.floor(F.col("crc") / mod), F.lit(PARTS))
-    made, checked = rows.where(part != 0).select("text", "y"), rows.where(part == 0).select("text", "y")
+    made = rows.where(part != 0).select("text", "y")
+    checked = rows.where(part == 0).groupBy(F.sha2("text", 256)).agg(F.max("text").alias("text"), F.max("y").alias("y")).select("text", "y")
+    checked = materialised(checked)
     sizes = {r[0]: r[1] for r in made.groupBy("y").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model()
-    words = made.mapInArrow(_count_words, "w binary, t long, o long").groupBy("w").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    often = (F.col("t") / sizes[1]) > TIMES * (F.col("o") + 0.5) / sizes[0]
-    # the shortest word takes 2 bytes: more words than that cannot be in a dictionary
-    toxic = words.where((F.col("t") >= LEAST) & often).orderBy(F.desc("t"), "w").limit(TOXIC_BYTES // 2).collect()
-    plain = words.where("o > 0").orderBy(F.desc("o"), "w").limit(ORDINARY_BYTES // 2).collect()
+    places = made.mapInArrow(_count_words, "w binary, near long, o long").groupBy("w", "near").agg(F.sum("o").alias("o"))
+    words = places.groupBy("w").agg(F.count("near").alias("t"), F.sum("o").alias("o"))
+    often = (F.least("t", F.lit(sizes[1])) / sizes[1]) > TIMES * (F.col("o") + 0.5) / sizes[0]
+    # the shortest word takes 4 bytes: more words than that cannot be in a dictionary
+    toxic = words.where((F.col("t") >= LEAST) & often).orderBy(F.desc("t"), "w").limit(TOXIC_BYTES // 4).collect()
+    plain = words.where("o > 0").orderBy(F.desc("o"), "w").limit(ORDINARY_BYTES // 4).collect()
     pair = (_packed([bytes(r["w"]) for r in toxic], TOXIC_BYTES), _packed([bytes(r["w"]) for r in plain], ORDINARY_BYTES))
     cells = checked.mapInArrow(_count_cells(spark.sparkContext.broadcast(pair)), "cell long, t long, o long")
     cells = cells.groupBy("cell").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).collect()  # lengths only: bounded
