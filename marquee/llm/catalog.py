@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, decontaminate, exact_dedup, language_id, licenses, quality, simhash, toxicity, url_filters
+from marquee.llm import bpe, decontaminate, exact_dedup, language_id, licenses, quality, simhash, suffix_dedup, toxicity, url_filters
 from marquee.llm.common import crc_mod, ready, table
 
 QUERIES = {}
@@ -49,6 +49,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    length = F.aggregate(F.arrays_zip(F.col(suffix_dedup.STARTS).alias("s"), F.col(suffix_dedup.ENDS).alias("e")),
+                         F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return out.select(
+        "doc_id", F.col(suffix_dedup.BYTES).alias("n_bytes"), F.coalesce(length, F.lit(0)).alias("n_removed"),
+        F.coalesce(F.size(suffix_dedup.STARTS), F.lit(0)).cast("long").alias("n_spans"),
+        F.sha2(suffix_dedup.KEPT, 256).alias("kept_sha256"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
