@@ -25,6 +25,7 @@ that do not form UTF-8 decode to U+FFFD; other columns are passed on.
 
 from __future__ import annotations
 
+import gc
 import json
 from array import array
 from collections.abc import Iterator
@@ -37,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from marquee.llm.common import P, ready
+from marquee.llm.common import Memory, P, kept_in_worker, ready
 
 #: The pattern that byte-level vocabularies split text with (white space as in Unicode's property).
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WHITE + r"\p{L}\p{N}]+"
            r"|[" + WHITE + r"]+(?![^" + WHITE + r"])|[" + WHITE + r"]+")
-#: Words and pieces remembered per worker; a full memory is emptied, results do not depend on it.
-MEMORY, PIECE_CHARS = 600_000, 48
+#: Words and pieces remembered per worker and generation.
+MEMORY, PIECE_CHARS = 220_000, 48
 #: Marks that are a piece of their own behind letters and before a space.
 MARKS = frozenset(",.;:!?")
 NEVER = 1 << 60
@@ -95,19 +96,20 @@ class Encoder:
         for i in order:
             good[i] = parts[i] is None and len(self.bytes_of[i]) == 1 or parts[i] is not None and (
                 good[parts[i][0]] and good[parts[i][1]] and self._fits(self._open(parts[i][0]), self.left[parts[i][1]], rank[i]))
+        joined = {y for right in merge.values() for y in right}
         self.auto = ahocorasick.Automaton()
         for i in order:
             if good[i]:
                 t = self.bytes_of[i]
-                self.auto.add_word(t.decode("latin-1"), (i, len(t)))
+                self.auto.add_word(t.decode("latin-1"), (i, len(t), [e for e in self.left[i] if e[0] in joined]))
         self.auto.make_automaton()
         self.split = regex.compile(PATTERN)
         self.added = regex.compile("|".join(regex.escape(t) for t in sorted(model["added"], key=len, reverse=True))) \
             if model["added"] else None
         self.added_ids = model["added"]
-        self.words: dict[str, bytes] = {}                 # after a space -> ids as int32 bytes
-        self.starts: dict[str, bytes] = {}                # at the start of a line
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.words = Memory(MEMORY)                       # after a space -> ids as int32 bytes
+        self.starts = Memory(MEMORY // 4)                 # the same at the start of a line
+        self.pieces = Memory(MEMORY)
         self.line = self._unit("\n")
 
     def _edge(self, i, rank, parts, side):
@@ -142,8 +144,8 @@ class Encoder:
         """Ids of one piece: last token of every prefix, then back-pointers."""
         b = text if text.isascii() else text.encode("utf-8", "surrogatepass").decode("latin-1")
         last, size = [-1] * (len(b) + 1), [0] * (len(b) + 1)
-        opened, left = self.open, self.left
-        for end, (tok, ln) in self.auto.iter(b):
+        opened = self.open
+        for end, (tok, ln, edge) in self.auto.iter(b):
             end += 1
             if last[end] >= 0:
                 continue
@@ -154,9 +156,13 @@ class Encoder:
                 seen = opened[before]
                 if seen is None:
                     seen = self._open(before)
-                if seen and not self._fits(seen, left[tok]):
-                    continue
-            last[end], size[end] = tok, ln
+                for y, until in edge:                     # _fits, without a call
+                    if y in seen and seen[y] <= until:
+                        break
+                else:
+                    last[end], size[end] = tok, ln
+            else:
+                last[end], size[end] = tok, ln
         out, at = [], len(b)
         while at:
             if last[at] < 0:
@@ -171,9 +177,7 @@ class Encoder:
         if ids is None:
             ids = self.piece(p)
             if len(p) <= PIECE_CHARS:
-                if len(self.pieces) > MEMORY:
-                    self.pieces.clear()
-                self.pieces[p] = ids
+                self.pieces.put(p, ids)
         return ids
 
     def _unit(self, text: str) -> bytes:
@@ -207,9 +211,7 @@ class Encoder:
         if ids is None:
             ids = self._unit(text)
             if len(key) <= PIECE_CHARS:
-                if len(memory) > MEMORY:
-                    memory.clear()
-                memory[key] = ids
+                memory.put(key, ids)
         return ids
 
     def _ordinary(self, text: str, out: list[bytes]) -> None:
@@ -218,7 +220,7 @@ class Encoder:
         So a stretch from one space to the next is on its own if it ends in
         something visible; otherwise it is taken together with the next one.
         """
-        words, known = text.split(" "), self.words.get
+        words, known = text.split(" "), self.words.young.get
         wait = words[0] if words[0][-1:].isspace() or not words[0] else None
         if wait is None:
             out.append(self._unit(words[0]))
@@ -254,25 +256,21 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _kept(key: str, model) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(model.value)
-    return _ENCODERS[key]
-
-
 IDS, BACK = f"{P}ids", f"{P}decoded"
 #: Rows of an output batch are closed at so many ids.
 BATCH_IDS = 2_000_000
 
 
+def _made(model: dict) -> Encoder:
+    encoder = Encoder(model)
+    gc.collect()
+    gc.freeze()  # the tables stay as long as the worker: no need to look through them again
+    return encoder
+
+
 def _run(model, key: str, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _kept(key, model)
+        enc = kept_in_worker(("bpe", key), lambda: _made(model.value))
         for b in batches:
             lo, flat, back = 0, [], []
 

@@ -77,3 +77,38 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 def crc_mod(id_col: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod
+
+
+_KEPT: dict = {}
+
+
+def kept_in_worker(key, make):
+    """An object that a Python worker keeps between its tasks; only the one used last, so that memory stays bounded."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+class Memory:
+    """What was worked out for a key, in two generations of at most ``size`` entries each.
+
+    A full young generation becomes the old one and the old one is let go;
+    entries still in use come back. Results never depend on it.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key, value):
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value

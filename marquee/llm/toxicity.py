@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from marquee.llm.common import BROADCAST_ROWS, P, crc_mod, materialised, ready
+from marquee.llm.common import BROADCAST_ROWS, Memory, P, crc_mod, kept_in_worker, materialised, ready
 
 WINDOW = 32
 TOXIC_BYTES, ORDINARY_BYTES = 32 << 10, 128 << 10
@@ -49,8 +49,8 @@ THRESHOLD = 0.3
 #: One labelled row in so many calibrates; the rest makes the dictionaries.
 PARTS = 3
 CARRIER = b"the of and that the of and that the of and that"
-#: Windows remembered per worker; a full memory is emptied, results do not depend on it.
-MEMORY = 700_000
+#: Windows remembered per worker and generation.
+MEMORY = 400_000
 
 _LETTERS = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 _COMPRESS = zs.ZstdCompressionParameters(
@@ -88,7 +88,7 @@ class Lengths:
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary = self._with(toxic), self._with(ordinary)
-        self.known: dict[bytes, int] = {}
+        self.known = Memory(MEMORY)
 
     @staticmethod
     def _with(words: bytes):
@@ -99,24 +99,15 @@ class Lengths:
     def cell(self, w: bytes) -> int:
         got = self.known.get(w)
         if got is None:
-            if len(self.known) > MEMORY:
-                self.known.clear()
             line = b"%b %b" % (CARRIER, twice(w))
             got = (len(self.ordinary.compress(line)) << 12 | len(self.toxic.compress(line)) << 4 | min(len(w), 15))
-            self.known[w] = got
+            self.known.put(w, got)
         return got
 
 
-_KEPT: dict[int, Lengths] = {}
-
-
 def _lengths(toxic: bytes, ordinary: bytes) -> Lengths:
     """One memory per worker process and pair of dictionaries."""
-    key = hash((toxic, ordinary))
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Lengths(toxic, ordinary)
-    return _KEPT[key]
+    return kept_in_worker(("toxicity", toxic, ordinary), lambda: Lengths(toxic, ordinary))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int,
