@@ -314,7 +314,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     anchors = src.mapInArrow(_anchor_rows, "kh long, sh long, dk long, th long, lo long, n int")
     often = anchors.groupBy("kh").agg(F.count(F.lit(1)).alias("m"), F.min("sh").alias("s1"), F.max("sh").alias("s2"))
     often = often.where("m > 1").select("kh", (F.col("s1") == F.col("s2")).alias("one"))
-    known = materialised(anchors.join(often, "kh"))
+    # written first: with an exchange of its own on either side, a hot anchor is split by the skew join
+    known = materialised(anchors.join(materialised(often), "kh"))
     whole = known.where("one").select("dk", "th", "lo", "n")
     mixed = known.where(~F.col("one")).drop("one")
     pick = F.xxhash64("dk", "th", "lo")
