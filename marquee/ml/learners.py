@@ -175,8 +175,7 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         d = data.first()[0].size
         # one CSR block per partition, cached (recomputed from the checkpoint if lost)
         blocks = data.rdd.mapPartitions(_csr_block).filter(lambda b: b[3].size > 0).cache()
-        n, max_sq = blocks.map(lambda b: (b[3].size, float(np.max(np.add.reduceat(b[2] * b[2], b[0][:-1]))
-                                                             if b[2].size else 0.0))).treeAggregate(
+        n, max_sq = blocks.map(lambda b: (b[3].size, _max_square(b))).treeAggregate(
             (0, 0.0), lambda a, b: (a[0] + b[0], max(a[1], b[1])), lambda a, b: (a[0] + b[0], max(a[1], b[1])))
         loss = self.getOrDefault("loss")
         alpha = self.getOrDefault("alpha")
@@ -214,6 +213,8 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         yv, t_k, prev_obj = w.copy(), 1.0, None
         for _ in range(self.getOrDefault("maxIter")):
             g, data_loss = grad_at(yv)
+            # loss and penalty of one point, for the stopping rule
+            obj = data_loss + alpha * (rho * np.abs(yv[:d]).sum() + 0.5 * (1 - rho) * float(yv[:d] @ yv[:d]))
             g[:d] += alpha * (1.0 - rho) * yv[:d]
             nxt = yv - step * g
             thr = step * alpha * rho
@@ -222,7 +223,6 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
             t_next = (1.0 + math.sqrt(1.0 + 4.0 * t_k * t_k)) / 2.0
             yv = nxt + ((t_k - 1.0) / t_next) * (nxt - w)
             w, t_k = nxt, t_next
-            obj = data_loss + alpha * (rho * np.abs(yv[:d]).sum() + 0.5 * (1 - rho) * float(yv[:d] @ yv[:d]))
             if prev_obj is not None and abs(prev_obj - obj) <= self.getOrDefault("tol") * max(abs(prev_obj), 1.0):
                 break
             prev_obj = obj
@@ -232,6 +232,13 @@ class ElasticNetSGD(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         return model
 
 
+def _max_square(block) -> float:
+    """Largest squared length of a row of a CSR block; rows without entries have length zero."""
+    indptr, _, vals, _ = block
+    filled = indptr[:-1][np.diff(indptr) > 0]
+    return float(np.add.reduceat(vals * vals, filled).max()) if filled.size else 0.0
+
+
 def _score_udf(coef: np.ndarray, intercept: float):
     @F.udf(T.DoubleType())
     def margin(v):
@@ -367,65 +374,61 @@ class AdaBoostModel(Model):
 
 # --- exact k nearest neighbours ------------------------------------------------
 
-KNN_CHUNK_ROWS = 50_000
+#: Bytes of vectors in one block of either side.
+KNN_BLOCK_BYTES = 16 << 20
+
+
+def _knn_block(k: int):
+    """The k nearest training rows of one block for each query of one block, ties by id; every tie is ranked exactly."""
+    def search(te, tr):
+        import pandas as pd
+        cols = {"_qid": np.int64, "_tid": np.int64, "_tl": np.int64, "_d": np.float64}
+        if te.empty or tr.empty:
+            return pd.DataFrame({c: np.array([], t) for c, t in cols.items()})
+        mat = np.stack([np.asarray(v, np.float64) for v in tr["_tv"]])
+        q = np.stack([np.asarray(v, np.float64) for v in te["_qv"]])
+        ids, labs, qids = tr["_tid"].to_numpy(), tr["_tl"].to_numpy(), te["_qid"].to_numpy()
+        sq, qsq = (mat * mat).sum(axis=1), (q * q).sum(axis=1)
+        out = {c: [] for c in cols}
+        for a in range(0, len(q), 256):  # bounded distance matrix
+            near = qsq[a:a + 256, None] + sq[None, :] - 2.0 * (q[a:a + 256] @ mat.T)
+            kth = np.partition(near, min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
+            slack = 1e-9 * (qsq[a:a + 256] + sq.max() + 1.0)  # rounding of the expanded square
+            for i in range(len(near)):
+                c = np.flatnonzero(near[i] <= kth[i] + slack[i])
+                diff = mat[c] - q[a + i]
+                exact = (diff * diff).sum(axis=1)
+                best = np.lexsort((ids[c], exact))[:k]
+                out["_qid"] += [int(qids[a + i])] * len(best)
+                out["_tid"] += ids[c][best].tolist()
+                out["_tl"] += labs[c][best].tolist()
+                out["_d"] += exact[best].tolist()
+        return pd.DataFrame({c: np.array(v, cols[c]) for c, v in out.items()})
+    return search
 
 
 def knn_predict(train: DataFrame, test: DataFrame, k: int = 5, id_col: str = "vec_id",
                 vec_col: str = "embedding", label_col: str = "label",
-                chunk_rows: int = KNN_CHUNK_ROWS) -> DataFrame:
+                block_bytes: int = KNN_BLOCK_BYTES) -> DataFrame:
     """Exact Euclidean k-NN with majority vote (ties -> smallest label).
 
-    The training side is split into chunks of at most ``chunk_rows`` rows
-    (the broadcast bound); each chunk is broadcast and every test partition
-    keeps its k best candidates per row in numpy. Candidates of all chunks
-    are merged with a top-k window (at most k x chunks rows per test row), so
-    the whole training set is searched and no test x train pairs are emitted.
+    Both sides are cut into blocks of bounded bytes by a hash of the id; each
+    pair of blocks meets in one task, which keeps the k best per query, and a
+    top-k window merges the blocks. Neither the driver nor a broadcast holds
+    training rows, and no pair of rows leaves a task but the k best.
     """
-    spark = train.sparkSession
-    tr = train.select(F.col(id_col).alias("_tid"), F.col(vec_col).alias("_tv"), F.col(label_col).alias("_tl"))
-    n_train = tr.agg(F.count(F.lit(1))).first()[0]
-    n_chunks = max(1, math.ceil(n_train / chunk_rows))
-    tr = tr.withColumn("_chunk", F.pmod(F.xxhash64("_tid"), F.lit(n_chunks)))
+    tr = train.select(F.col(id_col).alias("_tid"), F.col(vec_col).alias("_tv"), F.col(label_col).cast("long").alias("_tl"))
     te = test.select(F.col(id_col).alias("_qid"), F.col(vec_col).alias("_qv"))
-    schema = "_qid long, _tid long, _tl int, _d double"
-    parts = []
-    for c in range(n_chunks):
-        rows = tr.where(F.col("_chunk") == c).select("_tid", "_tv", "_tl").collect()
-        if not rows:
-            continue
-        ids = np.array([r[0] for r in rows], dtype=np.int64)
-        mat = np.array([r[1] for r in rows], dtype=np.float64)
-        labs = np.array([r[2] for r in rows], dtype=np.int64)
-        b = spark.sparkContext.broadcast((ids, mat, labs))
-
-        def search(it, b=b):
-            import pandas as pd
-            ids_, mat_, labs_ = b.value
-            sq = (mat_ * mat_).sum(axis=1)
-            n_cand = min(4 * k, len(ids_))
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                q = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_qv"]])
-                approx = (q * q).sum(axis=1)[:, None] + sq[None, :] - 2.0 * (q @ mat_.T)
-                cand = np.argpartition(approx, n_cand - 1, axis=1)[:, :n_cand]
-                qids = pdf["_qid"].to_numpy()
-                rows_q, rows_t, rows_l, rows_d = [], [], [], []
-                for i in range(len(q)):
-                    c = cand[i]
-                    diff = mat_[c] - q[i]
-                    exact = (diff * diff).sum(axis=1)
-                    order = np.lexsort((ids_[c], exact))[:k]
-                    rows_q += [int(qids[i])] * len(order)
-                    rows_t += ids_[c][order].tolist()
-                    rows_l += labs_[c][order].tolist()
-                    rows_d += exact[order].tolist()
-                yield pd.DataFrame({"_qid": rows_q, "_tid": rows_t, "_tl": rows_l, "_d": rows_d})
-
-        parts.append(te.mapInPandas(search, schema))
-    cands = parts[0]
-    for p_ in parts[1:]:
-        cands = cands.unionByName(p_)
+    n_tr, dim = tr.agg(F.count(F.lit(1)), F.max(F.size("_tv"))).first()
+    n_te = te.count()
+    per_block = max(1, block_bytes // (8 * max(1, dim or 1)))
+    b_tr, b_te = max(1, math.ceil(n_tr / per_block)), max(1, math.ceil(n_te / per_block))
+    if b_tr == 1:  # one training block: spread the queries
+        b_te = max(b_te, min(n_te or 1, int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tr = tr.withColumns({"_a": F.pmod(F.xxhash64("_tid"), F.lit(b_tr)), "_b": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_te - 1).cast("long")))})
+    te = te.withColumns({"_b": F.pmod(F.xxhash64("_qid"), F.lit(b_te)), "_a": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(b_tr - 1).cast("long")))})
+    cands = te.groupBy("_a", "_b").cogroup(tr.groupBy("_a", "_b")).applyInPandas(
+        _knn_block(k), "_qid long, _tid long, _tl long, _d double")
     w = W.partitionBy("_qid").orderBy("_d", "_tid")
     top = cands.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     votes = top.groupBy("_qid", "_tl").agg(F.count(F.lit(1)).alias("_n"))

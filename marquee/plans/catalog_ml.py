@@ -303,8 +303,11 @@ def q_score_loaded_model(spark, sf):
 
 def _w2v_stages(spark, sf):
     d = _split(spark, sf).withColumn("tokens", T.ws_tokens(T.clean_headline(F.col("headline"))))
-    w2v = Word2Vec(vectorSize=128, minCount=P.VOCAB_MIN_FREQ, seed=P.SEED, inputCol="tokens", outputCol="pooled")
-    model = w2v.fit(d.where(~F.col("is_test")))
+    train = d.where(~F.col("is_test"))
+    # trained on every partition at once and averaged; vectors depend on how many partitions there are
+    w2v = Word2Vec(vectorSize=128, minCount=P.VOCAB_MIN_FREQ, seed=P.SEED, inputCol="tokens", outputCol="pooled",
+                   numPartitions=max(spark.sparkContext.defaultParallelism, train.rdd.getNumPartitions()))
+    model = w2v.fit(train)
     return model.transform(d)
 
 

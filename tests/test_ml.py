@@ -60,10 +60,25 @@ def test_knn_exact_against_numpy(spark):
     te = [(100 + i, rng.normal(size=4).tolist()) for i in range(10)]
     trd = spark.createDataFrame(tr, "vec_id long, embedding array<double>, label int")
     ted = spark.createDataFrame(te, "vec_id long, embedding array<double>")
-    got = {r[0]: r[1] for r in L.knn_predict(trd, ted, k=5, chunk_rows=17).collect()}
+    got = {r[0]: r[1] for r in L.knn_predict(trd, ted, k=5, block_bytes=17 * 64).collect()}
     X_ = np.array([t[1] for t in tr])
     for qid, q in te:
         d = ((X_ - np.array(q)) ** 2).sum(1)
         nn = sorted(range(len(tr)), key=lambda j: (d[j], tr[j][0]))[:5]
         votes = np.bincount([tr[j][2] for j in nn], minlength=3)
         assert got[qid] == int(np.argmax(votes))
+
+
+def test_knn_keeps_every_tie(spark):
+    """200 equal vectors: the smallest five ids decide, however the blocks fall."""
+    tr = spark.createDataFrame([(i, [1.0, 2.0], int(i < 5)) for i in range(200)], "vec_id long, embedding array<double>, label int")
+    te = spark.createDataFrame([(1000, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    for size in (16 * 7, 1 << 20):
+        assert L.knn_predict(tr, te, k=5, block_bytes=size).collect()[0]["prediction"] == 1
+
+
+def test_sgd_rows_without_features():
+    import numpy as np
+    block = (np.array([0, 2, 2]), np.array([0, 1]), np.array([1.0, 2.0]), np.array([1.0, 0.0]))
+    assert L._max_square(block) == 5.0
+    assert L._max_square((np.array([0, 0]), np.array([], int), np.array([]), np.array([1.0]))) == 0.0
