@@ -14,8 +14,8 @@ computes its gradient, and partial sums are combined with ``treeAggregate``:
 * ``ElasticNetSGD``: modified-Huber / hinge / log / squared-hinge loss with
   an elastic-net penalty, minimised by FISTA (proximal step for L1);
 * ``AdaBoostStumps``: SAMME boosting of depth-1 trees via ``weightCol``;
-* ``ExactKNN``: exact k nearest neighbours, training vectors broadcast in
-  bounded chunks, candidates merged per query row.
+* ``ExactKNN``: exact k nearest neighbours over pairs of bounded blocks, the
+  k best of each pair merged per query row.
 
 Iterative learners checkpoint their input to the shared checkpoint folder
 so a lost executor recomputes from there, not from the whole lineage.
@@ -38,7 +38,6 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marquee.functions import patterns as P
 from marquee.session import checkpoint_dir
@@ -239,12 +238,15 @@ def _max_square(block) -> float:
     return float(np.add.reduceat(vals * vals, filled).max()) if filled.size else 0.0
 
 
-def _score_udf(coef: np.ndarray, intercept: float):
-    @F.udf(T.DoubleType())
-    def margin(v):
-        idx, vals = _as_sparse(v)
-        return float(np.dot(coef[idx], vals)) + intercept
-    return margin
+def _margin(features: str, coef: list[float], intercept: float):
+    """w.x + b over the stored entries of a sparse or dense vector, JVM-side.
+
+    The weights travel as one text literal that is folded into a constant array."""
+    v = F.unwrap_udt(F.col(features))
+    w = F.split(F.lit(",".join(repr(float(c)) for c in coef)), ",").cast("array<double>")
+    at = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.arrays_zip(at.alias("i"), v["values"].alias("x"))
+    return F.aggregate(pairs, F.lit(0.0), lambda total, p: total + F.get(w, p["i"]) * p["x"]) + F.lit(intercept)
 
 
 class LinearScoreModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -257,11 +259,11 @@ class LinearScoreModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsRea
     def __init__(self, coefficients=None, intercept=0.0, loss="modified_huber", featuresCol="features",
                  predictionCol="prediction"):
         super().__init__()
+        self._setDefault(intercept=0.0, loss="modified_huber")
         self._set(**self._input_kwargs)
 
     def _transform(self, df):
-        coef = np.asarray(self.getOrDefault("coefficients"), dtype=float)
-        m = _score_udf(coef, float(self.getOrDefault("intercept")))(F.col(self.getFeaturesCol()))
+        m = _margin(self.getFeaturesCol(), self.getOrDefault("coefficients"), float(self.getOrDefault("intercept")))
         loss = self.getOrDefault("loss")
         if loss == "log_loss":
             p1 = 1.0 / (1.0 + F.exp(-F.col("_m")))
@@ -281,12 +283,9 @@ class LinearScoreModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsRea
         return self.getOrDefault("coefficients")
 
 
-def squared_hinge_svc(C=1.0, n_hint=None, maxIter=200):
+class CSquaredHinge(_ScaledC):
     """LinearSVC with squared hinge: alpha = 1 / (C n) is set at fit time."""
-    return CSquaredHinge(C=C, maxIter=maxIter)
 
-
-class CSquaredHinge(_ScaledC):
     @keyword_only
     def __init__(self, C=1.0, maxIter=200, featuresCol="features", labelCol="label", predictionCol="prediction"):
         super().__init__()
@@ -320,7 +319,7 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         fc, lc = self.getFeaturesCol(), self.getLabelCol()
         n = df.agg(F.count(F.lit(1))).first()[0]
         cur = df.select(fc, F.col(lc).cast("double").alias("_y"), F.lit(1.0 / n).alias("_w")).checkpoint()
-        stumps, alphas = [], []
+        stumps, alphas, behind = [], [], None
         for r in range(self.getOrDefault("nEstimators")):
             tree = DecisionTreeClassifier(maxDepth=1, featuresCol=fc, labelCol="_y", weightCol="_w",
                                           predictionCol="_p", rawPredictionCol="_rp", probabilityCol="_pp",
@@ -328,6 +327,9 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
             pred = tree.transform(cur)
             agg = pred.agg(F.sum(F.when(F.col("_p") != F.col("_y"), F.col("_w")).otherwise(0.0)).alias("e"),
                            F.sum("_w").alias("t")).first()
+            if behind is not None:  # the current frame is filled, the one before can go
+                behind.unpersist()
+                behind = None
             err = agg["e"] / agg["t"]
             if err <= 0:
                 stumps.append(tree)
@@ -345,7 +347,10 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
                               .alias("_w"))
             total = nxt.agg(F.sum("_w")).first()[0]
             nxt = nxt.withColumn("_w", F.col("_w") / total)
-            cur = nxt.checkpoint() if (r + 1) % self.getOrDefault("checkpointEvery") == 0 else nxt.cache()
+            behind, cur = cur, nxt.checkpoint() if (r + 1) % self.getOrDefault("checkpointEvery") == 0 else nxt.cache()
+        for frame in (behind, cur):
+            if frame is not None:
+                frame.unpersist()
         return AdaBoostModel(stumps, alphas, fc, self.getPredictionCol())
 
 

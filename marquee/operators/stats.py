@@ -80,12 +80,14 @@ def chi_square(cells: DataFrame, class_col: str, classes: Column) -> DataFrame:
              .withColumn("n", F.coalesce(F.col("n"), F.lit(0))))
     row_tot = dense.groupBy("feature", class_col).agg(F.sum("n").alias("_r"))
     col_tot = dense.groupBy("feature", "value").agg(F.sum("n").alias("_c"))
-    tot = dense.groupBy("feature").agg(
+    x = dense.join(row_tot, ["feature", class_col]).join(col_tot, ["feature", "value"])
+    x = x.where((F.col("_r") > 0) & (F.col("_c") > 0))
+    # classes and values that never occur are no rows or columns of the table
+    tot = x.groupBy("feature").agg(
         F.sum("n").alias("_t"),
         F.countDistinct("value").alias("n_cols"),
         F.countDistinct(class_col).alias("n_rows"))
-    x = dense.join(row_tot, ["feature", class_col]).join(col_tot, ["feature", "value"]).join(tot, "feature")
-    x = x.where((F.col("_r") > 0) & (F.col("_c") > 0))
+    x = x.join(tot, "feature")
     e = F.col("_r") * F.col("_c") / F.col("_t")
     dof = (F.col("n_rows") - 1) * (F.col("n_cols") - 1)
     d = F.abs(F.col("n") - e)
@@ -105,13 +107,13 @@ def cramers_v(chi: DataFrame) -> DataFrame:
 def chi2_sf_expr(x: Column, k: Column) -> Column:
     """Upper tail of the chi-square distribution (regularized gamma Q(k/2, x/2)).
 
-    Evaluated with a fixed number of series / continued-fraction steps as
-    native array expressions (no UDF). Accurate to ~1e-10 for the ranges
-    met here; values below that print as 0.
+    Evaluated by series / continued fraction as native array expressions (no
+    UDF). Near x = k both need a number of steps in proportion to sqrt(k), so
+    the steps follow the degrees of freedom.
     """
     a = k / 2.0
     xx = x / 2.0
-    steps = F.sequence(F.lit(1), F.lit(300))
+    steps = F.sequence(F.lit(1), F.lit(300) + 12 * F.ceil(F.sqrt(a)).cast("int"))
     # log Gamma(a) for a = m/2 via a sum of logs (k is a positive integer).
     lg_int = F.aggregate(F.sequence(F.lit(1), F.greatest(F.floor(a).cast("int") - 1, F.lit(1))),
                          F.lit(0.0), lambda acc, j: acc + F.log(j.cast("double")))
@@ -204,6 +206,16 @@ def pattern_counts(df: DataFrame, col: str, checks=None) -> DataFrame:
     return wide.selectExpr(f"stack({len(cks)}, {stack}) AS (check_name, n_matches)")
 
 
+def matched_checks(df: DataFrame, col: str, checks=None) -> DataFrame:
+    """A row for each named check that a row matches, with ``check_name``.
+
+    ``explode_outer`` + null filter, so that the patterns are evaluated once."""
+    cks = P.ARTIFACT_CHECKS if checks is None else checks
+    hits = F.array(*[F.when(F.col(col).rlike(P.artifact_regex(body, True)), F.lit(name)) for name, body in cks])
+    return (df.select("*", F.explode_outer(F.array_compact(hits)).alias("check_name"))
+            .where(F.col("check_name").isNotNull()))
+
+
 def top_k_per_group(df: DataFrame, group_col: str, order: list[Column], k: int) -> DataFrame:
     """Rank <= k per group; planned with a partial per-task limit before the shuffle."""
     w = W.partitionBy(group_col).orderBy(*order)

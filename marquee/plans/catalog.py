@@ -212,6 +212,7 @@ from marquee.functions import stopwords  # noqa: E402
 SCORE_MULTIPLIERS = [37, 53, 71]
 THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 TOP_TERMS = 100
+CHECK_SAMPLES = 3   # matched texts shown per artifact check
 
 
 def _merged(spark, sf):
@@ -251,8 +252,8 @@ def q_merge_corpus(spark, sf):
 
 @query
 def q_sample_per_check(spark, sf):
-    d = X.read(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang")
-    return C.sample_per_group(d, ["lang"], 5, P.SEED)
+    hits = S.matched_checks(X.marked_texts(spark, sf), "headline")
+    return C.sample_per_group(hits, ["check_name"], CHECK_SAMPLES, P.SEED)
 
 
 @query
@@ -518,7 +519,7 @@ def _styled_pages(spark, sf):
 @query
 def q_maxabs_style(spark, sf):
     st = _styled_pages(spark, sf)
-    scales = {f: st.agg(F.max(F.abs(f))).scalar() for f in P.STYLE_FEATURES}
+    scales = st.agg(F.struct(*[F.max(F.abs(f)).alias(f) for f in P.STYLE_FEATURES])).scalar()
     return _r6(st.select("row_id", *[
         (F.col(f) / F.when(scales[f] == 0, F.lit(1.0)).otherwise(scales[f])).alias(f) for f in P.STYLE_FEATURES]))
 
@@ -526,10 +527,12 @@ def q_maxabs_style(spark, sf):
 @query
 def q_standardize_style(spark, sf):
     st = _styled_pages(spark, sf)
+    # one aggregate row with the mean and deviation of every feature
+    fit = st.agg(F.struct(*[F.struct(F.avg(f).alias("mu"), F.stddev_pop(f).alias("sd")).alias(f)
+                            for f in P.STYLE_FEATURES])).scalar()
     cols = []
     for f in P.STYLE_FEATURES:
-        mu = st.agg(F.avg(f)).scalar()
-        sd = st.agg(F.stddev_pop(f)).scalar()
+        mu, sd = fit[f]["mu"], fit[f]["sd"]
         cols.append(((F.col(f) - mu) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(f))
     return _r6(st.select("row_id", *cols))
 
@@ -612,8 +615,9 @@ def q_soft_vote(spark, sf):
 @query
 def q_nb_counts(spark, sf):
     tr = X.doc_train(spark, sf)
-    tc = V.term_counts(tr, T.word_tokens(T.clean_headline(F.col("headline"))))
-    per = tc.join(tr.select("row_id", "label"), "row_id").groupBy("label", "term").agg(F.sum("tf").alias("n_ct"))
+    # the label rides along as the key of the exploded terms
+    terms_of = V.explode_terms(tr, T.word_tokens(T.clean_headline(F.col("headline"))), "label")
+    per = terms_of.groupBy(F.col("row_id").alias("label"), "term").agg(F.count(F.lit(1)).alias("n_ct"))
     terms = per.select("term").distinct()
     n_terms = terms.agg(F.count(F.lit(1))).scalar()
     dense = (terms.select("term", F.explode(F.array(F.lit(0), F.lit(1))).alias("label"))

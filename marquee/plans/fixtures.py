@@ -16,7 +16,9 @@ from marquee.sources.pages import page_headlines
 PAGE_MARKER = ".example.com"   # class A pages
 CLASS_A, CLASS_B = "A", "B"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
-STRIDE = 1_000_000_000   # row_id offset of the re-punctuated copies
+# what artifact pages carry before and behind their headline; the last kind is an ordinary page
+ARTIFACT_MARKS = [("", " - Page 7"), ("Articles - ", ""), ("Coming up on ", ""), ("Video Site Map ", ""),
+                  ("", " - FOX News Radio"), ("", " - Fox Nation"), ("", "")]
 
 
 TEXT_TABLES = {"documents", "pages", "conversations"}
@@ -55,11 +57,14 @@ def doc_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("row_id", "headline", (F.col("source") == CLASS_A).cast("int").alias("label"))
 
 
-def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, headline, label): documents joined to labels, label = quality."""
-    h = doc_texts(spark, sf_dir)
-    lab = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("row_id"), F.col("quality").alias("label"))
-    return h.join(lab, "row_id").select("row_id", "headline", "label")
+def marked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, headline): every document with the mark of an artifact page put before or behind it, by row id."""
+    d = doc_texts(spark, sf_dir)
+    kind = F.pmod(F.col("row_id"), F.lit(len(ARTIFACT_MARKS)))
+    marked = F.col("headline")
+    for i, (before, behind) in enumerate(ARTIFACT_MARKS):
+        marked = F.when(kind == i, F.concat(F.lit(before), "headline", F.lit(behind))).otherwise(marked)
+    return d.select("row_id", marked.alias("headline"))
 
 
 def base_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +82,7 @@ def new_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = doc_texts(spark, sf_dir)
     odd = h.where(F.col("row_id") % 2 == 1).select("row_id", "headline", "source")
     copies = h.where(F.col("row_id") % 2 == 0).select(
-        (F.col("row_id") + F.lit(STRIDE)).alias("row_id"),
+        (F.lit(-1) - F.col("row_id")).alias("row_id"),   # negative: meets no real row at any size
         F.concat(F.translate(F.regexp_replace("headline", r"[.,]", ""), ASCII_LOWER, ASCII_LOWER.upper()),
                  F.lit("!")).alias("headline"),
         "source")
@@ -99,7 +104,11 @@ def knn_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def turn_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, headline, label): every conversation turn, label = assistant turn."""
+    """(row_id, headline, label): every conversation turn, label = assistant turn.
+
+    The turn fills the low 32 bits of the id (a larger one is an error, never a
+    collision), so ids of different conversations cannot meet."""
     c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), F.col("text").alias("headline"),
+    row_id = F.shiftleft(F.col("conv_id").cast("long"), 32) + F.col("turn").cast("int")
+    return c.select(row_id.alias("row_id"), F.col("text").alias("headline"),
                     (F.col("role") == "assistant").cast("int").alias("label"))

@@ -125,7 +125,7 @@ BASE_NEW = DOC_TEXTS + (
     "ELSE 'https://www.nbcnews.com/a/' END || CAST(row_id AS VARCHAR) AS url, headline FROM doc_texts "
     "WHERE row_id % 2 = 0), "
     "new AS (SELECT row_id, headline, source FROM doc_texts WHERE row_id % 2 = 1 UNION ALL "
-    f"SELECT row_id + {X.STRIDE}, translate({O.rx_replace('headline', '[.,]', '')}, "
+    f"SELECT -1 - row_id, translate({O.rx_replace('headline', '[.,]', '')}, "
     f"{q(X.ASCII_LOWER)}, {q(X.ASCII_LOWER.upper())}) || '!', source FROM doc_texts WHERE row_id % 2 = 0)"
 )
 
@@ -160,9 +160,14 @@ SQL["anti_join_base"] = (
     f"(SELECT 1 FROM base b WHERE {O.dedupe_key('b.headline')} = {O.dedupe_key('n.headline')})")
 SQL["balance_classes"] = f"WITH {BASE_NEW}, {BALANCED} SELECT row_id, headline, source FROM balanced"
 SQL["merge_corpus"] = f"WITH {MERGED} SELECT row_id, headline, source, origin FROM merged"
+_MARKED = " ".join(f"WHEN {i} THEN {q(a)} || headline || {q(b)}" for i, (a, b) in enumerate(X.ARTIFACT_MARKS))
 SQL["sample_per_check"] = (
-    "SELECT doc_id AS row_id, lang FROM documents "
-    f"QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_md5('doc_id')}, doc_id) <= 5")
+    f"WITH {DOC_TEXTS}, marked AS (SELECT row_id, CASE row_id % {len(X.ARTIFACT_MARKS)} {_MARKED} END AS headline "
+    "FROM doc_texts), hits AS (") + " UNION ALL ".join(
+    f"SELECT row_id, headline, {q(name)} AS check_name FROM marked "
+    f"WHERE {O.rx_has('headline', P.artifact_regex(body, True, 're2'))}" for name, body in P.ARTIFACT_CHECKS) + (
+    ") SELECT row_id, headline, check_name FROM hits "
+    f"QUALIFY row_number() OVER (PARTITION BY check_name ORDER BY {_md5('row_id')}, row_id) <= 3")
 SQL["split_random"] = (
     f"SELECT doc_id AS row_id, (row_number() OVER (ORDER BY {_md5('doc_id')}, doc_id) - 1) "
     "< ceil(0.2 * count(*) OVER ()) AS is_test FROM documents")
@@ -319,7 +324,7 @@ SQL["tfidf_long"] = (
     "SELECT row_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS weight FROM w")
 TRAIN_TOKENS = SPLIT + (
     f", trtok AS ({_pos_tokens('(SELECT * FROM split WHERE NOT is_test)', O.ws_tokens(O.clean_headline('headline')))}), "
-    "firsts AS (SELECT token, count(*) AS n, min(row_id * 100000000 + pos) AS f FROM trtok GROUP BY token "
+    "firsts AS (SELECT token, count(*) AS n, min(ROW(row_id, pos)) AS f FROM trtok GROUP BY token "
     "HAVING count(*) >= 2), "
     "vindex AS (SELECT token, CAST(row_number() OVER (ORDER BY f) + 1 AS INT) AS idx, CAST(n AS BIGINT) AS n FROM firsts)")
 SQL["vocab_index"] = f"WITH {TRAIN_TOKENS} SELECT token, idx, n FROM vindex"

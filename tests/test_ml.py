@@ -77,6 +77,25 @@ def test_knn_keeps_every_tie(spark):
         assert L.knn_predict(tr, te, k=5, block_bytes=size).collect()[0]["prediction"] == 1
 
 
+def test_linear_margin_of_sparse_and_dense_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+    vs = [Vectors.sparse(4, [1, 3], [2.0, -1.5]), Vectors.dense([1.0, 0.0, 3.0, 1e-7]), Vectors.sparse(4, [], [])]
+    w = [0.25, -1e-05, 1 / 3, 2.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vs)], ["row_id", "features"])
+    got = dict(df.select("row_id", L._margin("features", w, 0.5)).collect())
+    for i, v in enumerate(vs):
+        assert abs(got[i] - (float(v.toArray() @ w) + 0.5)) < 1e-12
+    out = L.LinearScoreModel(coefficients=w, intercept=0.5).transform(df).select("row_id", "prediction").collect()
+    assert {r[0]: r[1] for r in out} == {0: 0.0, 1: 1.0, 2: 1.0}
+
+
+def test_turn_ids_of_long_conversations_differ(spark, tmp_path):
+    turns = [(c, t, "user", "x") for c in (1, 2, 3) for t in range(2500)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    assert X.turn_train(spark, str(tmp_path)).select("row_id").distinct().count() == len(turns)
+
+
 def test_sgd_rows_without_features():
     import numpy as np
     block = (np.array([0, 2, 2]), np.array([0, 1]), np.array([1.0, 2.0]), np.array([1.0, 0.0]))

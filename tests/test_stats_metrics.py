@@ -46,6 +46,38 @@ def test_pvalue(spark):
     assert abs(p[4] - 0.8491450360846096) < 1e-9
 
 
+def test_pvalue_of_many_degrees_of_freedom(spark):
+    cases = [(float(k) + d * math.sqrt(2 * k), k) for k in (20_001, 100_000, 1_000_000) for d in (-1.0, 0.0, 2.0)]
+    df = spark.createDataFrame(cases, "x double, k int")
+    chi = spark.sparkContext._jvm.org.apache.commons.math3.distribution.ChiSquaredDistribution
+    for x, k, p in df.select("x", "k", S.chi2_sf_expr(F.col("x"), F.col("k"))).collect():
+        assert abs(p - (1.0 - chi(float(k)).cumulativeProbability(x))) < 1e-6
+
+
+def test_chi_square_with_an_absent_class(spark):
+    cells = spark.createDataFrame([("f", 0.0, "A", 5), ("f", 1.0, "A", 7)],
+                                  "feature string, value double, source string, n long")
+    chi = S.chi_square(cells, "source", F.array(F.lit("A"), F.lit("B"))).first()
+    assert (chi["chi2"], chi["dof"], chi["n_rows"], chi["n_cols"]) == (0.0, 0, 1, 2)
+
+
+def test_matched_checks(spark):
+    df = spark.createDataFrame([(1, "coming up on X - Fox Nation"), (2, "Y - Page 12"), (3, None), (4, "plain"), (5, "")],
+                               "row_id long, headline string")
+    got = S.matched_checks(df, "headline").collect()
+    assert sorted((r["row_id"], r["check_name"]) for r in got) == [
+        (1, "Fox Nation episodes"), (1, "Show previews"), (2, "'Page' references")]
+
+
+def test_report_of_no_rows_and_of_two_classes(spark):
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "label int, prediction int")
+    got = {r["row_name"]: r for r in M.classification_report(df).collect()}
+    assert sorted(got) == ["0", "1", "accuracy", "macro avg", "weighted avg"]
+    assert got["0"]["recall"] == 1.0 and got["1"]["recall"] == 0.5 and got["accuracy"]["f1"] == 0.75
+    assert got["macro avg"]["recall"] == 0.75 and got["weighted avg"]["support"] == 4
+    assert M.macro_f1(df.limit(0)).first()[0] == 0.0
+
+
 def test_macro_f1_imbalanced(spark):
     y = [1] * 8 + [0] * 2
     p = [1] * 10
