@@ -22,6 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NON_ASCII = r"[^\x{00}-\x{7f}]"
+_ASCII_RUN = r"[\x{00}-\x{7f}]+"
 
 
 @functools.lru_cache(maxsize=1)
@@ -44,7 +45,14 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def _class_of(chars) -> str:
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+    """Character class of sorted characters, neighbours joined to ranges."""
+    runs: list[list[int]] = []
+    for cp in map(ord, chars):
+        if runs and cp == runs[-1][1] + 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in runs) + "]"
 
 
 @functools.lru_cache(maxsize=1)
@@ -55,8 +63,9 @@ def multi_class() -> str:
 def ascii_fold(c: Column) -> Column:
     src, dst, multi = fold_tables()
     mapping = F.create_map(*[F.lit(x) for kv in sorted(multi.items()) for x in kv])
+    # the class is long: it is tried on the few characters outside ASCII only
     expanded = F.when(
-        c.rlike(multi_class()),
+        F.regexp_replace(c, _ASCII_RUN, "").rlike(multi_class()),
         F.array_join(
             F.transform(F.regexp_extract_all(c, F.lit("(?s)."), 0),
                         lambda ch: F.coalesce(F.try_element_at(mapping, ch), ch)),

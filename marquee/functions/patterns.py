@@ -105,6 +105,7 @@ END_PERIOD_RE = rf"\.[{WS}]*\z"
 WORD_TOKEN_RE = rf"\[?[{WORD}]{{2,}}\]?"
 DEFAULT_TOKEN_RE = rf"[{WORD}]{{2,}}"
 CLEAN_DROP_RE = rf"[^a-z0-9{WS}'\-.\[\]:]"
+CLEAN_DROP_ASCII_RUN = r"[^a-z0-9'\-.\[\]:]+"   # the same and white space, for folded text
 
 _ARTIFACT_TRANSLATION = {
     r" - Page \d+$": r" - Page \p{Nd}+" + PY_END,

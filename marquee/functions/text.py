@@ -67,19 +67,19 @@ def strip_ws(c) -> Column:
 
 
 def clean_headline(c) -> Column:
-    """Null -> ''; fold; punctuation; money; end period; lower; drop; collapse.
+    """Null -> ''; fold; money; end period; lower; drop and collapse.
 
     Order matters: folding runs first, so curly quotes and dashes are deleted
-    (not mapped) and only ``$`` amounts survive to the money rule.
+    (the punctuation map would find none) and only ``$`` amounts survive to the
+    money rule. In folded text whatever is not kept ends up as white space, so
+    dropping and collapsing are one pass over runs.
     """
     t = F.coalesce(_c(c), F.lit(""))
     t = ascii_fold(t)
-    t = normalize_punct(t)
     t = replace_money(t)
     t = mark_end_period(t)
     t = F.lower(t)
-    t = F.regexp_replace(t, P.CLEAN_DROP_RE, " ")
-    return collapse_ws(t)
+    return F.trim(F.regexp_replace(t, P.CLEAN_DROP_ASCII_RUN, " "))
 
 
 def strip_title_suffix(c, suffixes=None) -> Column:

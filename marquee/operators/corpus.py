@@ -1,9 +1,10 @@
 """Corpus operators: keep-first dedupe, anti join, balance, splits, folds, merge.
 
-Every "keep the first row" is a grouped ``min(struct(row_id, ...))``: it is
-combined map-side, so a headline repeated across a third of the input still
+Every "keep the first row" is a grouped ``min(row_id)``: a hash aggregate that
+is combined map-side, so a headline repeated across a third of the input still
 ships one row per map task. Sampling and splitting order rows by an md5 key
-of ``row_id`` and seed, so results are the same on any partitioning.
+of ``row_id`` and seed, so results are the same on any partitioning; the rows
+themselves are only compared with one cut key per class, never shuffled.
 """
 
 from __future__ import annotations
@@ -17,10 +18,17 @@ from marquee.operators import ranking as R
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str = "row_id") -> DataFrame:
-    """One row per key: the row with the smallest ``order_col``."""
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    first = F.min(F.struct(order_col, *rest)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    """One row per key: the row with the smallest ``order_col`` (unique).
+
+    Without further columns the aggregate is the result. Otherwise the keys
+    are grouped by digest, on narrow rows, and the first rows are picked by
+    their ``order_col``."""
+    if set(df.columns) == {*keys, order_col}:
+        return df.groupBy(*keys).agg(F.min(order_col).alias(order_col)).select(*df.columns)
+    digests = [F.sha2(F.col(k).cast("string"), 256).alias(f"_d{i}") for i, k in enumerate(keys)]
+    first = (df.select(order_col, *digests).groupBy(*[f"_d{i}" for i in range(len(keys))])
+             .agg(F.min(order_col).alias(order_col)))
+    return df.join(first.select(order_col), order_col, "left_semi").select(*df.columns)
 
 
 def dedupe_first(df: DataFrame, col: str = "headline") -> DataFrame:
@@ -48,20 +56,31 @@ def anti_join_base(new: DataFrame, base: DataFrame, col: str = "headline") -> Da
             .join(base_keys, "_key", "left_anti").drop("_key"))
 
 
-def first_n_by_hash(df: DataFrame, group_cols: list[str], n: "F.Column",
-                    seed: int = P.SEED, id_col: str = "row_id") -> DataFrame:
-    """Per group, the ``n`` rows first in md5(row_id:seed) order (``n`` may be a column)."""
-    keyed = df.withColumn("_h", R.hash_order(id_col, seed)).withColumn("_bucket", R.hash_bucket(F.col("_h")))
-    ranked = R.positions(keyed, group_cols, ["_h", id_col])
-    return ranked.where(F.col("_pos") < n).drop("_h", "_bucket", "_pos")
+def _hash_cut(df: DataFrame, class_col: str, n_of, seed: int, id_col: str) -> "F.Column":
+    """Boolean column: the row is among its class's first n in md5(row_id:seed) order.
+
+    ``n_of(sizes)`` gives (class, _n) from the class sizes. Only ids and classes
+    are ranked, and of these one bucket per class; null classes are never in."""
+    h = R.hash_order(id_col, seed)
+    keys = (df.where(F.col(class_col).isNotNull())
+            .select(F.col(class_col).alias("_class"), h.alias("_h"), F.col(id_col).alias("_id"))
+            .withColumn("_bucket", R.hash_bucket(F.col("_h"))))
+    counts = R.bucket_counts(keys, "_class")
+    sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_group_n"))
+    wanted = n_of(sizes).select("_class", (F.col("_n") - 1).alias("_p"))
+    cuts = R.rows_at(keys, counts, wanted, "_class", ["_h", "_id"])
+    cut = cuts.agg(F.map_from_entries(F.collect_list(
+        F.struct("_class", F.struct("_h", "_id"))))).scalar()
+    mine = F.struct(h.alias("_h"), F.col(id_col).alias("_id"))
+    return F.coalesce(mine <= F.try_element_at(cut, F.col(class_col)), F.lit(False))
 
 
 def balance_classes(df: DataFrame, class_col: str = "source", seed: int = P.SEED,
                     id_col: str = "row_id") -> DataFrame:
     """Down-sample every class to the size of the smallest one."""
-    sizes = R.group_sizes(df, [class_col])
-    n_min = sizes.agg(F.min("_group_n")).scalar()
-    return first_n_by_hash(df, [class_col], n_min, seed, id_col)
+    def smallest(sizes):
+        return sizes.withColumn("_n", sizes.agg(F.min("_group_n")).scalar())
+    return df.where(_hash_cut(df, class_col, smallest, seed, id_col))
 
 
 def sample_per_group(df: DataFrame, group_cols: list[str], k: int, seed: int = P.SEED,
@@ -75,22 +94,19 @@ def sample_per_group(df: DataFrame, group_cols: list[str], k: int, seed: int = P
 def split_random(df: DataFrame, test_frac: float = 0.2, seed: int = P.SEED,
                  id_col: str = "row_id") -> DataFrame:
     """Adds ``is_test``: the first ceil(frac*n) rows in hash order are test."""
-    n_test = F.ceil(df.agg(F.count(F.lit(1))).scalar() * F.lit(test_frac))
-    keyed = df.withColumn("_h", R.hash_order(id_col, seed)).withColumn("_bucket", R.hash_bucket(F.col("_h")))
-    ranked = R.positions(keyed, [], ["_h", id_col])
-    return ranked.withColumn("is_test", F.col("_pos") < n_test).drop("_h", "_bucket", "_pos")
+    whole = df.withColumn("_all", F.lit(0))
+    return whole.withColumn("is_test", _hash_cut(whole, "_all", _share(test_frac), seed, id_col)).drop("_all")
+
+
+def _share(frac: float):
+    return lambda sizes: sizes.withColumn("_n", F.ceil(F.col("_group_n") * F.lit(frac)))
 
 
 def split_stratified(df: DataFrame, label_col: str = "label", test_frac: float = 0.2,
                      seed: int = P.SEED, id_col: str = "row_id") -> DataFrame:
     """Adds ``is_test``: per label, the first ceil(frac*n_label) rows in hash order."""
-    sizes = R.group_sizes(df, [label_col])
-    keyed = (df.join(sizes, label_col)
-             .withColumn("_h", R.hash_order(id_col, seed))
-             .withColumn("_bucket", R.hash_bucket(F.col("_h"))))
-    ranked = R.positions(keyed, [label_col], ["_h", id_col])
-    n_test = F.ceil(F.col("_group_n") * F.lit(test_frac))
-    return ranked.withColumn("is_test", F.col("_pos") < n_test).drop("_h", "_bucket", "_pos", "_group_n")
+    known = df.where(F.col(label_col).isNotNull())
+    return known.withColumn("is_test", _hash_cut(known, label_col, _share(test_frac), seed, id_col))
 
 
 def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "label",
@@ -102,22 +118,28 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "label",
     rows fill folds 0, 1, ... in ``id_col`` order.
     """
     from pyspark.sql import Window as W
-    sizes = R.group_sizes(df, [label_col], "_n")
-    start = F.coalesce(F.sum("_n").over(W.orderBy(label_col).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    classes = sizes.select(label_col, "_n", start.alias("_s"))  # one row per class
-    ranked = R.positions(R.id_bucket(df, id_col), [label_col], [id_col]).drop("_bucket")
-    x = ranked.join(classes, label_col)
+    known = df.where(F.col(label_col).isNotNull())
+    keys = R.id_bucket(known.select(F.col(label_col).alias("_class"), F.col(id_col).alias("_id")), "_id")
+    counts = R.bucket_counts(keys, "_class")
+    sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_n"))
+    start = F.coalesce(F.sum("_n").over(W.orderBy("_class").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    classes = sizes.select("_class", "_n", start.alias("_s"))  # one row per class
 
     def per_fold(i: int):
         a, b = F.col("_s"), F.col("_s") + F.col("_n")
         return F.floor((b - 1 - i) / k) - F.floor((a - 1 - i) / k)
 
-    cum = None
-    fold = F.lit(0)
-    for i in range(k - 1):
-        cum = per_fold(i) if cum is None else cum + per_fold(i)
-        fold = fold + F.when(cum <= F.col("_pos"), 1).otherwise(0)
-    return x.withColumn("fold", fold.cast("int")).drop("_n", "_s", "_pos")
+    ends = [per_fold(0)]
+    for i in range(1, k - 1):
+        ends.append(ends[-1] + per_fold(i))
+    # the first row of every later fold; a row's fold is the number of these at or before it
+    wanted = classes.select("_class", F.posexplode(F.array(*ends)).alias("_i", "_p"))
+    cuts = R.rows_at(keys, counts, wanted, "_class", ["_id"])
+    cut = (cuts.groupBy("_class").agg(F.collect_list("_id").alias("_ids"))
+           .agg(F.map_from_entries(F.collect_list(F.struct("_class", "_ids")))).scalar())
+    mine = F.try_element_at(cut, F.col(label_col))
+    passed = [F.coalesce(F.get(mine, F.lit(i)) <= F.col(id_col), F.lit(False)).cast("int") for i in range(k - 1)]
+    return known.withColumn("fold", sum(passed[1:], passed[0]))
 
 
 def label_base(base: DataFrame, marker: str = P.OUTLET_A_SITE, a: str = P.OUTLET_A,

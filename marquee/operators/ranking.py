@@ -43,8 +43,10 @@ def id_bucket(df: DataFrame, id_col: str, n_buckets: int = 1 << 16) -> DataFrame
     """
     bounds = df.agg(F.struct(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    # in doubles, which keep the order and cannot overflow on ids of the whole 64-bit range
+    lo, hi = lo.cast("double"), hi.cast("double")
     width = F.greatest(F.ceil((hi - lo + 1) / F.lit(n_buckets)), F.lit(1))
-    return df.withColumn("_bucket", F.floor((F.col(id_col) - lo) / width).cast("long"))
+    return df.withColumn("_bucket", F.floor((F.col(id_col).cast("double") - lo) / width).cast("long"))
 
 
 def positions(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -64,5 +66,31 @@ def positions(df: DataFrame, group_cols: list[str], order_cols: list[str],
             .drop("_off"))
 
 
+def bucket_counts(df: DataFrame, class_col: str) -> DataFrame:
+    """(class, _bucket, _n): combined map-side, at most 65,536 rows a class."""
+    return df.groupBy(class_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def rows_at(df: DataFrame, counts: DataFrame, wanted: DataFrame, class_col: str,
+            order_cols: list[str]) -> DataFrame:
+    """The rows of ``df`` at the ``wanted`` (class, _p) 0-based positions.
+
+    Only buckets that hold a wanted position are ranked. ``wanted`` has a few
+    rows per class (a cut, k folds), so it and the buckets hit are broadcast.
+    """
+    before = W.partitionBy(class_col).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    hit = (offsets.join(F.broadcast(wanted), class_col)
+           .where((F.col("_p") >= F.col("_off")) & (F.col("_p") < F.col("_off") + F.col("_n")))
+           .select(class_col, "_bucket", (F.col("_p") - F.col("_off") + 1).alias("_rank"))
+           .groupBy(class_col, "_bucket").agg(F.collect_list("_rank").alias("_ranks")))
+    inner = W.partitionBy(class_col, "_bucket").orderBy(*order_cols)
+    ranked = (df.join(F.broadcast(hit), [class_col, "_bucket"])
+              .withColumn("_rank", F.row_number().over(inner)))
+    # a position wanted twice gives its row twice
+    times = F.filter("_ranks", lambda r: r == F.col("_rank"))
+    return ranked.where(F.size(times) > 0).withColumn("_at", F.explode(times)).select(*df.columns)
+
+
 def group_sizes(df: DataFrame, group_cols: list[str], name: str = "_group_n") -> DataFrame:
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))

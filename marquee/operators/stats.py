@@ -9,8 +9,6 @@ windows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -175,9 +173,11 @@ def histogram(df: DataFrame, group_col: str, value_col: str, bins: int = 30) ->
     rng = rng.select(group_col, lo.cast("double").alias("_lo"), hi.cast("double").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.least(F.floor((F.col(value_col) - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    x = df.select(group_col, value_col).join(rng, group_col).withColumn("bin", b)
+    # rows become (group, value) counts first: only these meet the ranges
+    cells = df.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    x = cells.join(rng, group_col).withColumn("bin", b)
     return (x.groupBy(group_col, "bin").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("_c").alias("n"),
         F.first(F.col("_lo") + F.col("bin") * width).alias("left"),
         F.first(F.col("_lo") + (F.col("bin") + 1) * width).alias("right")))
 
@@ -185,14 +185,15 @@ def histogram(df: DataFrame, group_col: str, value_col: str, bins: int = 30) ->
 def boxplot_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme points inside) and outlier count."""
     qs = exact_quantiles(df, [group_col], value_col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    x = df.select(group_col, value_col).join(qs, group_col)
+    cells = df.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("_c"))
+    x = cells.join(qs, group_col)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     v = F.col(value_col)
     return x.groupBy(group_col, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo_f, v)).cast("double").alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).cast("double").alias("whisker_hi"),
-        F.sum(F.when((v < lo_f) | (v > hi_f), 1).otherwise(0)).cast("long").alias("n_outliers"))
+        F.sum(F.when((v < lo_f) | (v > hi_f), F.col("_c")).otherwise(0)).cast("long").alias("n_outliers"))
 
 
 def pattern_counts(df: DataFrame, col: str, checks=None) -> DataFrame:
@@ -220,7 +221,3 @@ def top_k_per_group(df: DataFrame, group_col: str, order: list[Column], k: int)
     """Rank <= k per group; planned with a partial per-task limit before the shuffle."""
     w = W.partitionBy(group_col).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -329,9 +329,12 @@ def q_mlp_text(spark, sf):
 def q_mlp_hybrid(spark, sf):
     x = _w2v_stages(spark, sf).select("row_id", "label", "is_test", "pooled", *style_columns("headline"))
     tr = x.where(~F.col("is_test"))
+    # mean and deviation of every feature from one aggregate row over the training part
+    fit = tr.agg(F.struct(*[F.struct(F.avg(f).alias("mu"), F.stddev_pop(f).alias("sd")).alias(f)
+                            for f in P.STYLE_FEATURES])).scalar()
     cols = []
     for f in P.STYLE_FEATURES:
-        mu, sd = tr.agg(F.avg(f)).scalar(), tr.agg(F.stddev_pop(f)).scalar()
+        mu, sd = fit[f]["mu"], fit[f]["sd"]
         cols.append(((F.col(f) - mu) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(f"z_{f}"))
     z = x.select("row_id", "label", "is_test", "pooled", *cols)
     z = VectorAssembler(inputCols=["pooled"] + [f"z_{f}" for f in P.STYLE_FEATURES], outputCol="features") \

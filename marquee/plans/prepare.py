@@ -4,8 +4,9 @@ read -> source from URL (or given source) -> drop null headline -> language
 pass 1 -> language pass 2 -> length bounds -> page artifacts -> drop null
 source -> keep first per headline -> 0/1 label.
 
-All filters fold into one Filter over the scan projection; the only shuffle
-is the keep-first aggregate, which combines map-side.
+All filters fold into one Filter above the headline's generator; the only
+shuffle is the keep-first aggregate, a hash aggregate with two fixed-width
+minima that combines map-side.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from marquee.functions import patterns as P
 from marquee.functions import text as T
 from marquee.operators import filters as FL
-from marquee.operators.corpus import keep_first
 
 
 def with_source(df: DataFrame, marker: str = P.OUTLET_A_SITE, a: str = P.OUTLET_A,
@@ -40,5 +40,8 @@ def prepare_headlines(df: DataFrame, marker: str = P.OUTLET_A_SITE, a: str = P.O
                 & FL.in_length_bounds(h)
                 & ~FL.is_artifact(h)
                 & F.col("source").isNotNull())
-    x = keep_first(x, ["headline"])
-    return x.select("row_id", "headline", T.encode_label(F.col("source"), a).alias("label"))
+    # the first row's label is 1 when the first row of class 1 is the first of all
+    is_one = T.encode_label(F.col("source"), a) == 1
+    x = x.groupBy("headline").agg(F.min("row_id").alias("row_id"), F.min(F.when(is_one, F.col("row_id"))).alias("_one"))
+    label = F.coalesce(F.col("_one") == F.col("row_id"), F.lit(False)).cast("int")
+    return x.select("row_id", "headline", label.alias("label"))

@@ -31,6 +31,38 @@ def test_stratified_folds_match_reference_allocation(spark):
     assert max(map(got.count, range(5))) - min(map(got.count, range(5))) <= 1
 
 
+def test_folds_and_cuts_against_ranked_rows(spark):
+    import hashlib
+    labels = {i: (i * 7919) % 13 % 3 for i in range(0, 900, 3)}
+    df = spark.createDataFrame([(i, y, "x" * 50) for i, y in labels.items()] + [(9001, None, "y")],
+                               "row_id long, label int, text string").repartition(5)
+    k, flat = 5, sorted(labels.values())
+    want = {}
+    for y in set(flat):
+        per = [sum(1 for j in range(f, len(flat), k) if flat[j] == y) for f in range(k)]
+        own = sorted(i for i, v in labels.items() if v == y)
+        want.update(zip(own, [f for f in range(k) for _ in range(per[f])]))
+    assert {r["row_id"]: r["fold"] for r in C.stratified_folds(df, k).collect()} == want
+
+    def order(i):
+        return hashlib.md5(f"{i}:42".encode()).hexdigest(), i
+    split = {r["row_id"]: r["is_test"] for r in C.split_stratified(df).collect()}
+    small = min(flat.count(y) for y in set(flat))
+    kept = {r["row_id"] for r in C.balance_classes(df, "label").collect()}
+    for y in set(flat):
+        own = sorted((i for i, v in labels.items() if v == y), key=order)
+        assert [split[i] for i in own] == [n < -(-len(own) // 5) for n in range(len(own))]
+        assert kept & set(own) == set(own[:small])
+    assert set(split) == set(labels) and C.balance_classes(df.where("false"), "label").count() == 0
+
+
+def test_ids_of_the_whole_range(spark):
+    ids = [-2 ** 63, -5, 0, 7, 2 ** 62, 2 ** 63 - 1]
+    df = spark.createDataFrame([(i, 1) for i in ids], "row_id long, label int")
+    got = {r["row_id"]: r["fold"] for r in C.stratified_folds(df, 3).collect()}
+    assert [got[i] for i in ids] == [0, 0, 1, 1, 2, 2]
+
+
 def test_splits(spark):
     df = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(101)], "row_id long, label int")
     r = C.split_random(df).where("is_test").count()
