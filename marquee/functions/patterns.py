@@ -105,7 +105,8 @@ END_PERIOD_RE = rf"\.[{WS}]*\z"
 WORD_TOKEN_RE = rf"\[?[{WORD}]{{2,}}\]?"
 DEFAULT_TOKEN_RE = rf"[{WORD}]{{2,}}"
 CLEAN_DROP_RE = rf"[^a-z0-9{WS}'\-.\[\]:]"
-CLEAN_DROP_ASCII_RUN = r"[^a-z0-9'\-.\[\]:]+"   # the same and white space, for folded text
+# The same and white space, for folded lower-case text: the ASCII characters that are not kept.
+CLEAN_DROP_ASCII = "".join(chr(i) for i in range(128) if not (chr(i).isalnum() or chr(i) in "'-.[]: "))
 
 _ARTIFACT_TRANSLATION = {
     r" - Page \d+$": r" - Page \p{Nd}+" + PY_END,

@@ -71,15 +71,16 @@ def clean_headline(c) -> Column:
 
     Order matters: folding runs first, so curly quotes and dashes are deleted
     (the punctuation map would find none) and only ``$`` amounts survive to the
-    money rule. In folded text whatever is not kept ends up as white space, so
-    dropping and collapsing are one pass over runs.
+    money rule. In folded text whatever is not kept becomes a space, character
+    by character; what is left to collapse is runs of spaces.
     """
     t = F.coalesce(_c(c), F.lit(""))
     t = ascii_fold(t)
     t = replace_money(t)
     t = mark_end_period(t)
     t = F.lower(t)
-    return F.trim(F.regexp_replace(t, P.CLEAN_DROP_ASCII_RUN, " "))
+    t = F.translate(t, P.CLEAN_DROP_ASCII, " " * len(P.CLEAN_DROP_ASCII))
+    return F.trim(F.regexp_replace(t, "  +", " "))
 
 
 def strip_title_suffix(c, suffixes=None) -> Column:

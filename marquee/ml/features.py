@@ -153,13 +153,13 @@ class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
 
     def _fit(self, df: DataFrame) -> Model:
         ic, oc = self.getInputCol(), self.getOutputCol()
-        docs = df.select(F.monotonically_increasing_id().alias("_doc"), F.col(ic))
-        tc = V.term_counts(docs, F.col(ic), "_doc")
+        max_features = self.getOrDefault("maxFeatures")
+        if not 0 < max_features <= MAX_VOCAB:   # whatever the data: the vocabulary comes to the driver
+            raise ValueError(f"maxFeatures must lie in 1..{MAX_VOCAB}")
+        stats = V.term_totals(df.select(ic), F.col(ic))
         n_docs = df.agg(F.count(F.lit(1))).scalar()
-        vocab = V.idf(V.vocabulary(tc, self.getOrDefault("maxFeatures"), self.getOrDefault("minDf")), n_docs)
-        rows = vocab.orderBy("idx").select("term", "idf").limit(MAX_VOCAB + 1).collect()
-        if len(rows) > MAX_VOCAB:
-            raise ValueError("vocabulary exceeds the driver bound; set maxFeatures")
+        vocab = V.idf(V.select_terms(stats, max_features, self.getOrDefault("minDf")), n_docs)
+        rows = vocab.orderBy("idx").select("term", "idf").collect()
         terms = [r["term"] for r in rows] or ["\u0000"]
         idf = [float(r["idf"]) for r in rows] or [0.0]
         tf_col, w_col = f"_{oc}_tf", f"_{oc}_w"

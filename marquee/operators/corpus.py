@@ -78,8 +78,10 @@ def _hash_cut(df: DataFrame, class_col: str, n_of, seed: int, id_col: str) -> "F
 def balance_classes(df: DataFrame, class_col: str = "source", seed: int = P.SEED,
                     id_col: str = "row_id") -> DataFrame:
     """Down-sample every class to the size of the smallest one."""
-    def smallest(sizes):
-        return sizes.withColumn("_n", sizes.agg(F.min("_group_n")).scalar())
+    from pyspark.sql import Window as W
+
+    def smallest(sizes):   # one row per class
+        return sizes.withColumn("_n", F.min("_group_n").over(W.partitionBy(F.lit(0))))
     return df.where(_hash_cut(df, class_col, smallest, seed, id_col))
 
 

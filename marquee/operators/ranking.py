@@ -92,5 +92,20 @@ def rows_at(df: DataFrame, counts: DataFrame, wanted: DataFrame, class_col: str,
     return ranked.where(F.size(times) > 0).withColumn("_at", F.explode(times)).select(*df.columns)
 
 
+def numbered(df: DataFrame, order_col: str, out: str = "_pos") -> DataFrame:
+    """0-based position by ``order_col`` (unique): sorted sampled ranges, then the
+    rows before each range. The sorted rows are checkpointed, so that counts and
+    rows come from the same ranges."""
+    place = F.monotonically_increasing_id()   # partition in the upper bits, row in it in the lower 33
+    rows = df.repartitionByRange(order_col).sortWithinPartitions(order_col).withColumn("_at", place).checkpoint()
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    before = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    pos = F.col("_off") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(offsets), "_part").withColumn(out, pos).drop("_part", "_off", "_at")
+
+
 def group_sizes(df: DataFrame, group_cols: list[str], name: str = "_group_n") -> DataFrame:
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))

@@ -33,18 +33,40 @@ def explode_positions(docs: DataFrame, terms: Column, id_col: str = "row_id") ->
 
 
 def term_counts(docs: DataFrame, terms: Column, id_col: str = "row_id") -> DataFrame:
-    """(row_id, term, tf) from an array-of-terms expression."""
+    """(row_id, term, tf) from an array-of-terms expression.
+
+    Give ``docs`` clustered by ``id_col`` (``repartition(id_col)`` of the
+    texts): then all terms of a row are counted in the task that made them and
+    no (row, term) pair crosses the network."""
     return explode_terms(docs, terms, id_col).groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def term_totals(docs: DataFrame, terms: Column) -> DataFrame:
+    """(term, df, total) straight from term arrays: every occurrence counts for
+    ``total``, every row's distinct terms for ``df``; one aggregate, combined
+    map-side, without counts per row."""
+    each = F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"), F.lit(1).alias("t")))
+    once = F.transform(F.array_distinct(terms),
+                       lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"), F.lit(0).alias("t")))
+    x = docs.select(F.explode_outer(F.concat(each, once)).alias("_x")).where(F.col("_x").isNotNull())
+    return x.groupBy(F.col("_x.term").alias("term")).agg(F.sum("_x.d").alias("df"), F.sum("_x.t").alias("total"))
+
+
 def vocabulary(tc: DataFrame, max_features: int | None = None, min_df: int = 1) -> DataFrame:
+    """The vocabulary of (row_id, term, tf) counts, see ``select_terms``."""
+    stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    return select_terms(stats, max_features, min_df)
+
+
+def select_terms(stats: DataFrame, max_features: int | None = None, min_df: int = 1) -> DataFrame:
     """(term, df, total, idx): min_df filter, then the top ``max_features`` by
     total count (ties by term); ``idx`` numbers the kept terms alphabetically."""
-    stats = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     if min_df > 1:
         stats = stats.where(F.col("df") >= min_df)
     if max_features is not None:
+        # at most max_features rows are left: one task numbers them
         stats = stats.orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
+        return stats.withColumn("idx", (F.row_number().over(W.orderBy("term")) - 1).cast("int"))
     # alphabetical index without a global window: bucket = first two UTF-8 bytes
     # (monotone in Spark's binary string order), then bucketed positions
     first2 = F.rpad(F.hex(F.substring(F.encode(F.col("term"), "UTF-8"), 1, 2)), 4, "0")
@@ -77,32 +99,26 @@ def vocab_index(tokens: DataFrame, min_freq: int = P.VOCAB_MIN_FREQ) -> DataFram
     """(token, idx, n): PAD=0, UNK=1, then frequent tokens in first-seen order.
 
     ``tokens`` is (row_id, pos, token); first seen = smallest (row_id, pos).
-    Ranks are computed with bucketed prefix sums over the first row id.
-    Needs a checkpoint folder (``session.checkpoint_dir``).
+    The place (row_id, pos) is one decimal, row_id * 2^32 + pos, which a hash
+    aggregate can minimise; tokens are combined map-side and ranked over sampled
+    ranges. Needs a checkpoint folder (``session.checkpoint_dir``).
     """
+    place = F.col("row_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("pos")
     first = tokens.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("row_id", "pos")).alias("_first")).where(F.col("n") >= min_freq)
-    first = first.select("token", "n", F.col("_first.row_id").alias("_r"), F.col("_first.pos").alias("_p"))
-    # the vocabulary is small; materialise it once so ranking does not re-run tokenisation
-    first = first.checkpoint()
-    ranked = R.positions(R.id_bucket(first, "_r"), [], ["_r", "_p"]).drop("_bucket")
-    return ranked.select("token", (F.col("_pos") + 2).cast("int").alias("idx"), "n")
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("_first")).where(F.col("n") >= min_freq)
+    return R.numbered(first, "_first").select("token", (F.col("_pos") + 2).cast("int").alias("idx"), "n")
 
 
-def encode(tokens: DataFrame, index: DataFrame, max_len: int = P.SEQ_LEN,
-           ids: DataFrame | None = None) -> DataFrame:
+def encode(docs: DataFrame, tokens: Column, index: DataFrame, max_len: int = P.SEQ_LEN) -> DataFrame:
     """(row_id, pos, idx) for pos in [0, max_len): known -> idx, unknown -> 1, pad -> 0.
 
-    ``ids`` (row_id) lists every row, so rows without tokens are all padding.
+    Only the first ``max_len`` tokens of a row leave its array. Padding does
+    not meet the index: its null keys would all go to one task.
     """
-    head = tokens.where(F.col("pos") < max_len)
+    head = explode_positions(docs, F.slice(tokens, 1, max_len))
     coded = (head.join(index.select("token", "idx"), "token", "left")
              .select("row_id", "pos", F.coalesce(F.col("idx"), F.lit(P.UNK_INDEX)).alias("idx")))
-    lengths = tokens.groupBy("row_id").agg(F.count(F.lit(1)).alias("_len"))
-    if ids is not None:
-        lengths = (ids.select("row_id").join(lengths, "row_id", "left")
-                   .select("row_id", F.coalesce(F.col("_len"), F.lit(0)).alias("_len")))
-    pads = lengths.where(F.col("_len") < max_len).select(
-        "row_id", F.explode(F.sequence(F.col("_len").cast("int"), F.lit(max_len - 1))).alias("pos"))
-    return coded.unionByName(pads.select("row_id", "pos", F.lit(P.PAD_INDEX).alias("idx")))
+    n = F.size(tokens).cast("long")
+    pads = F.when(n < max_len, F.sequence(n, F.lit(max_len - 1).cast("long")))
+    padding = docs.select("row_id", F.explode_outer(pads).alias("pos")).where(F.col("pos").isNotNull())
+    return coded.unionByName(padding.select("row_id", "pos", F.lit(P.PAD_INDEX).alias("idx")))

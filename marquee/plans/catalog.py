@@ -392,6 +392,11 @@ def _clean_docs(spark, sf):
     return _docs(spark, sf).select("row_id", T.clean_headline(F.col("text")).alias("clean"))
 
 
+def _by_row(docs: DataFrame) -> DataFrame:
+    """Texts clustered by row before their terms are made: (row, term) counts need no further shuffle."""
+    return docs.repartition("row_id")
+
+
 def _pos_tokens(df, arr):
     return V.explode_positions(df, arr)
 
@@ -420,18 +425,18 @@ def q_stopword_tokens(spark, sf):
 
 @query
 def q_word_bigrams(spark, sf):
-    grams = T.with_ngrams(_clean_docs(spark, sf), T.word_tokens(F.col("clean")), 1, 2)
+    grams = T.with_ngrams(_by_row(_clean_docs(spark, sf)), T.word_tokens(F.col("clean")), 1, 2)
     return V.term_counts(grams, F.col("terms"))
 
 
 @query
 def q_char_ngrams(spark, sf):
     ph = X.page_heads(spark, sf).select("row_id", T.clean_headline(F.col("headline")).alias("clean"))
-    return V.term_counts(ph, T.char_wb_ngrams(F.col("clean"), 3, 5))
+    return V.term_counts(_by_row(ph), T.char_wb_ngrams(F.col("clean"), 3, 5))
 
 
 def _train_split(spark, sf):
-    return C.split_stratified(X.doc_train(spark, sf))
+    return C.split_stratified(_by_row(X.doc_train(spark, sf)))
 
 
 def _bigrams(df):
@@ -439,15 +444,11 @@ def _bigrams(df):
 
 
 def _all_counts(spark, sf):
-    """(row_id, is_test, term, tf) for every row, computed once and checkpointed
-    (term counts are far smaller than the n-gram arrays): the vocabulary is
-    fitted on the training part, weights cover all rows."""
-    checkpoint_dir(spark)
+    """(row_id, is_test, term, tf) for every row, counted where the row's text is:
+    the vocabulary is fitted on the training part, weights cover all rows."""
     grams = _bigrams(_train_split(spark, sf))
-    return (V.explode_terms(grams.withColumn("_k", F.struct("row_id", "is_test")), F.col("terms"), "_k")
-            .groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-            .select(F.col("row_id.row_id").alias("row_id"), F.col("row_id.is_test").alias("is_test"), "term", "tf")
-            .checkpoint())
+    terms = grams.select("row_id", "is_test", F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy("row_id", "is_test", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _train_vocab(spark, sf, counts=None):
@@ -459,8 +460,8 @@ def _train_vocab(spark, sf, counts=None):
 
 @query
 def q_vocab_topn(spark, sf):
-    tc = V.term_counts(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
-    top = tc.groupBy("term").agg(F.sum("tf").alias("total")).orderBy(F.col("total").desc(), "term").limit(TOP_TERMS)
+    terms = V.explode_terms(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
+    top = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total")).orderBy(F.col("total").desc(), "term").limit(TOP_TERMS)
     from pyspark.sql import Window as W
     return top.select("term", "total", F.row_number().over(W.orderBy(F.col("total").desc(), "term"))
                       .cast("long").alias("rank"))
@@ -473,7 +474,7 @@ def q_vocab_min_df(spark, sf):
 
 @query
 def q_tf_sublinear(spark, sf):
-    tc = V.term_counts(_clean_docs(spark, sf), T.word_tokens(F.col("clean")))
+    tc = V.term_counts(_by_row(_clean_docs(spark, sf)), T.word_tokens(F.col("clean")))
     return _r6(tc.withColumn("tf_sublinear", 1 + F.log(F.col("tf"))))
 
 
@@ -486,30 +487,32 @@ def q_idf(spark, sf):
 def q_tfidf_long(spark, sf):
     counts = _all_counts(spark, sf)
     tc = counts.select("row_id", "term", "tf")
-    return _r6(V.tfidf(tc, _train_vocab(spark, sf, counts), sublinear=True).select("row_id", "term", "weight"))
+    # at most max_features rows: broadcast, so that counts stay clustered by row up to the norm
+    vocab = F.broadcast(_train_vocab(spark, sf, counts))
+    return _r6(V.tfidf(tc, vocab, sublinear=True).select("row_id", "term", "weight"))
+
+
+def _clean_tokens():
+    return T.ws_tokens(F.col("clean"))
 
 
-def _ws_tokens_all(spark, sf):
-    """(row_id, is_test, pos, token) for every row, computed once and checkpointed."""
+def _train_index(spark, sf):
+    """Index of the training part's tokens; only the vocabulary is checkpointed."""
     checkpoint_dir(spark)
-    x = _train_split(spark, sf)
-    toks = x.select("row_id", "is_test", F.posexplode_outer(T.ws_tokens(T.clean_headline(F.col("headline"))))
-                    .alias("pos", "token"))
-    return toks.where(F.col("token").isNotNull()).select(
-        "row_id", "is_test", F.col("pos").cast("long").alias("pos"), "token").checkpoint()
+    train = C.split_stratified(X.doc_train(spark, sf)).where("is_test = false")
+    train = train.select("row_id", T.clean_headline(F.col("headline")).alias("clean"))
+    return V.vocab_index(V.explode_positions(train, _clean_tokens()))
 
 
 @query
 def q_vocab_index(spark, sf):
-    return V.vocab_index(_ws_tokens_all(spark, sf).where(~F.col("is_test")).drop("is_test"))
+    return _train_index(spark, sf)
 
 
 @query
 def q_encode_tokens(spark, sf):
-    toks = _ws_tokens_all(spark, sf)
-    index = V.vocab_index(toks.where(~F.col("is_test")).drop("is_test"))
-    ids = X.doc_train(spark, sf).select("row_id")
-    return V.encode(toks.drop("is_test"), index, P.SEQ_LEN, ids)
+    docs = X.doc_train(spark, sf).select("row_id", T.clean_headline(F.col("headline")).alias("clean"))
+    return V.encode(docs, _clean_tokens(), _train_index(spark, sf))
 
 
 def _styled_pages(spark, sf):
