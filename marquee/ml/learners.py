@@ -40,6 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee.functions import patterns as P
+from marquee.ml.parts import PartsModel
 from marquee.session import checkpoint_dir
 
 
@@ -348,12 +349,19 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         return AdaBoostModel(stumps, alphas, fc, self.getPredictionCol())
 
 
-class AdaBoostModel(Model):
+class AdaBoostModel(Model, PartsModel):
     def __init__(self, stumps=None, alphas=None, featuresCol="features", predictionCol="prediction"):
         super().__init__()
         self.stumps, self.alphas = stumps or [], alphas or []
         self.fc, self.pc = featuresCol, predictionCol
 
+    def parts_and_values(self):
+        return list(self.stumps), [self.alphas, self.fc, self.pc]
+
+    @classmethod
+    def from_parts(cls, models, values):
+        return cls(models, *values)
+
     def _transform(self, df):
         score = F.lit(0.0)
         out = df

@@ -10,6 +10,7 @@ fits its feature union once and runs the stack's inner CV on its output.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler, Word2Vec
@@ -27,7 +28,7 @@ from marquee.ml import tuning as TU
 from marquee.operators import metrics as M
 from marquee.operators.corpus import split_stratified, stratified_folds
 from marquee.plans import fixtures as X
-from marquee.plans.catalog import QUERIES, prepared_pages, query
+from marquee.plans.catalog import prepared_pages, query
 from marquee.session import checkpoint_dir, scratch_path
 from marquee.sources.models import load_model, save_model
 
@@ -152,15 +153,20 @@ def q_pipeline_sweep(spark, sf):
     for name, cfg in FT.CONFIGS.items():
         est = FT.build_pipeline(cfg, L.ScaledLogisticRegression(C=1.0, maxIter=100))
         rows.append(M.fold_summary(_oof_parallel(est, folded), name))
+    return _sorted_summaries(rows)
+
+
+def _sorted_summaries(rows: list[DataFrame]) -> DataFrame:
+    """One row per entry of a sweep, best macro-F1 first (ties by name)."""
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
+    return out.orderBy(F.col("f1_mean").desc(), "pipeline")
 
 
-def _grid_features_once(spark, sf, grid: list[dict], make_clf) -> DataFrame:
-    """Cross-validated macro-F1 per grid point with the feature pipeline fitted
-    once per fold (the reference refits it for every grid point)."""
+def _oof_features_once(spark, sf, grid: list, make_clf) -> DataFrame:
+    """(grid_index, fold, label, prediction) of every grid entry, with the feature
+    pipeline fitted once per fold (the reference refits it for every entry)."""
     checkpoint_dir(spark)
     train = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
     folded = stratified_folds(train, K_FOLDS).checkpoint()
@@ -184,6 +190,16 @@ def _grid_features_once(spark, sf, grid: list[dict], make_clf) -> DataFrame:
     allp = parts[0]
     for p_ in parts[1:]:
         allp = allp.unionByName(p_)
+    return allp
+
+
+def _grid_features_once(spark, sf, grid: list[dict], make_clf) -> DataFrame:
+    """Cross-validated macro-F1 per grid point of a classifier on the shipped features."""
+    return _grid_scores(_oof_features_once(spark, sf, grid, make_clf), grid)
+
+
+def _grid_scores(allp: DataFrame, grid: list[dict]) -> DataFrame:
+    spark = allp.sparkSession
     per = M.macro_f1(allp, group_cols=["grid_index", "fold"])
     params = spark.createDataFrame([(i, {k: str(v) for k, v in g.items()}) for i, g in enumerate(grid)],
                                    "grid_index int, params map<string,string>")
@@ -197,6 +213,49 @@ LR_GRID = [{"C": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0)]
 SVC_GRID = [{"C": c, "loss": loss} for c in (0.01, 0.1, 1.0, 10.0, 100.0) for loss in ("hinge", "squared_hinge")]
 
 
+# The feature grid (vocabulary size x word n-grams x character n-grams).
+FEATURE_GRID = [{"word_max": m, "word_ngram": n, "char_range": c}
+                for m in (1000, 2500, 5000) for n in (1, 2) for c in ((3, 5), (4, 6))]
+
+
+@query
+def q_grid_search_features(spark, sf):
+    """All twelve points: the choice of the shipped feature pipeline."""
+    checkpoint_dir(spark)
+    train = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
+    folded = stratified_folds(train, K_FOLDS).checkpoint()
+    out = None
+    for gi, params in enumerate(FEATURE_GRID):
+        cfg = replace(FT.CONFIGS["Hybrid_v2_style"], **params)
+        est = FT.build_pipeline(cfg, L.ScaledLogisticRegression(C=1.0, maxIter=100))
+        preds = _oof_parallel(est, folded).withColumn("grid_index", F.lit(gi))
+        out = preds if out is None else out.unionByName(preds)
+    return _grid_scores(out, FEATURE_GRID)
+
+
+def _sweep_classifiers():
+    """The nine learners of the classifier study with their library defaults."""
+    return {
+        "logistic_regression": L.ScaledLogisticRegression(C=1.0, maxIter=100),
+        "linear_svc": L.CSquaredHinge(C=1.0, maxIter=1000),
+        "sgd": L.ElasticNetSGD(loss="hinge", penalty="l2", alpha=0.0001),
+        "knn": L.ExactKNN(k=5),
+        "decision_tree": L.decision_tree(),
+        "random_forest": L.random_forest(n_estimators=100, max_depth=None, max_features="sqrt", min_samples_leaf=1),
+        "adaboost": L.AdaBoostStumps(nEstimators=50),
+        "multinomial_nb": L.multinomial_nb(1.0),
+        "complement_nb": L.complement_nb(1.0),
+    }
+
+
+@query
+def q_classifier_sweep(spark, sf):
+    names = list(_sweep_classifiers())
+    oof = _oof_features_once(spark, sf, names, lambda name: _sweep_classifiers()[name])
+    return _sorted_summaries([M.fold_summary(oof.where(F.col("grid_index") == i).drop("grid_index"), name)
+                              for i, name in enumerate(names)])
+
+
 @query
 def q_grid_search_lr(spark, sf):
     return _grid_features_once(spark, sf, LR_GRID, lambda p: L.ScaledLogisticRegression(C=p["C"], maxIter=1000))
@@ -281,7 +340,9 @@ def q_final_eval(spark, sf):
 # --- scoring and persistence ------------------------------------------------------
 
 def _shipped_model(spark, sf, rows: DataFrame):
-    return FT.build_pipeline(FT.SHIPPED, L.ScaledLogisticRegression(C=1.0, maxIter=1000)).fit(rows)
+    """The shipped pipeline: tuned features and the stack."""
+    checkpoint_dir(spark)
+    return FT.build_pipeline(FT.SHIPPED, _stack()).fit(rows)
 
 
 @query
@@ -343,10 +404,3 @@ def q_mlp_hybrid(spark, sf):
     m = mlp.fit(z.where(~F.col("is_test")))
     return _held_out(m.transform(z.where(F.col("is_test"))))
 
-
-ML_QUERIES = [k for k in QUERIES if k in {
-    "train_lr", "train_svc", "train_svc_squared", "train_sgd", "train_rf", "train_dt", "train_adaboost",
-    "train_nb", "train_cnb", "train_knn", "pipeline_sweep", "grid_search_lr", "grid_search_svc", "top_features",
-    "top_features_side_by_side", "hybrid_features", "ensemble_soft3", "calibrate_svc", "ensemble_soft4",
-    "stacking", "final_eval", "score_headlines", "score_loaded_model",
-    "pooled_embeddings", "mlp_text", "mlp_hybrid"}]

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF01
+from marquee.ml import ensemble as EN
 from marquee.ml import features as FT
 from marquee.ml import learners as L
 from marquee.operators import metrics as M
@@ -101,3 +102,22 @@ def test_sgd_rows_without_features():
     block = (np.array([0, 2, 2]), np.array([0, 1]), np.array([1.0, 2.0]), np.array([1.0, 0.0]))
     assert L._max_square(block) == 5.0
     assert L._max_square((np.array([0, 0]), np.array([], int), np.array([]), np.array([1.0]))) == 0.0
+
+
+def test_saved_ensembles_score_the_same(spark):
+    d = _split(spark)
+    tr, te = d.where(~F.col("is_test")), d.where(F.col("is_test"))
+    lr = ("lr", L.ScaledLogisticRegression(C=1.0, maxIter=20), "proba")
+    sgd = ("sgd", L.ElasticNetSGD(loss="modified_huber", alpha=0.001, maxIter=10), "proba")
+    svc = L.ScaledLinearSVC(C=0.1, maxIter=10)
+    cfg = FT.FeatureConfig("t", clean=True, word_max=200)
+    for clf in [EN.Stacking([lr, ("svc", svc, "margin"), sgd], 2), L.AdaBoostStumps(nEstimators=3),
+                EN.SoftVote([lr[:2], ("csvc", EN.CalibratedSVC(svc, 2))])]:
+        model = FT.build_pipeline(cfg, clf).fit(tr)
+        path = scratch_path(spark, "test-ensemble")
+        save_model(model, path)
+
+        def scores(m):
+            return {r["row_id"]: (r["prediction"], r["probability"].toArray().round(9).tolist())
+                    for r in m.transform(te).select("row_id", "prediction", "probability").collect()}
+        assert scores(load_model(path)) == scores(model)
