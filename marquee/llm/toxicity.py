@@ -53,8 +53,9 @@ CARRIER = b"the of and that the of and that the of and that"
 MEMORY = 400_000
 
 _LETTERS = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
+#: A binary tree keeps 2^(chain_log - 1) places: more than the longer dictionary has bytes. The search goes far enough for words in sorted order.
 _COMPRESS = zs.ZstdCompressionParameters(
-    window_log=19, hash_log=15, chain_log=15, search_log=4, min_match=3, target_length=64,
+    window_log=19, hash_log=17, chain_log=19, search_log=10, min_match=3, target_length=64,
     strategy=zs.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 

@@ -79,3 +79,16 @@ def test_dual_coordinate_descent_separates():
 def test_windows_cover_long_words():
     assert b"".join(toxicity.in_order("x" * 100)) == b"x" * 100
     assert toxicity.windows(None) == set()
+
+
+@pytest.mark.parametrize("size", [toxicity.TOXIC_BYTES, toxicity.ORDINARY_BYTES])
+@pytest.mark.parametrize("start", ["", "abc"])
+def test_whole_dictionary_is_searched(size, start):
+    rng = np.random.default_rng(1)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = sorted({(start + "".join(rng.choice(letters, 8 - len(start)))).encode() for _ in range(size // 18)})
+    kept = toxicity.Lengths(toxicity._packed(words, size), b"")
+    length = lambda ws: np.mean([kept.cell(w) >> 4 & 255 for w in ws])
+    first, middle, last = length(words[-300:]), length(words[len(words) // 2:][:300]), length(words[:300])
+    unknown = length([w[:3] + w[:2:-1] for w in words[::20]])
+    assert max(first, middle) < last + 1.5 < unknown
