@@ -2,23 +2,34 @@
 
 Training, on labelled rows outside the held-out part:
 
-1. Spark counts in how many ordinary documents, and between how many
-   different neighbours in toxic documents, each word occurs (all rows of the
-   dictionary part; copies of a document add no new neighbours). The toxic
-   dictionary holds the words that are far more frequent in toxic documents,
-   the ordinary dictionary the most frequent words of ordinary ones, each up
-   to a fixed size and the strongest last, where references cost least. Both
-   are zstandard dictionaries of raw content.
-2. The other labelled rows, each text once, calibrate. A window (one word, written twice; long words
-   in cuts of ``WINDOW`` bytes) is compressed behind a fixed carrier with
-   either dictionary. The pair of compressed lengths, with the length of the window,
-   is a cell; Spark counts the toxic and ordinary documents of every cell and
-   the cell gets the log-ratio of the two rates.
+1. Spark counts in how many ordinary documents, and in how many different
+   toxic texts, each word occurs (all rows of the dictionary part; copies of a
+   toxic text count once). Then it counts passages the same way: runs of two and
+   three words without a toxic word, and in runs of letters over ``WINDOW``
+   bytes (CJK, joined words) the strings of up to ``GRAMS`` bytes from every
+   character on. Of the ordinary documents only passages that ``LEAST`` toxic
+   texts hold are counted (a bit table of fixed size picks them, a join
+   decides). The toxic dictionary holds the words and passages that are far
+   more frequent in toxic documents, the ordinary dictionary the most frequent
+   words of ordinary ones and the commonest of the passages counted, each up to
+   a fixed size, words behind passages and the strongest last, where references
+   cost least. Both are zstandard dictionaries of raw content.
+2. The other labelled rows, each text once, calibrate. A window is one word;
+   long runs give overlapping cuts of ``WINDOW`` bytes, and strings that stand
+   in the toxic dictionary; two or three neighbouring words are a window where
+   the toxic dictionary matches across each space between them (it holds a
+   passage with the same ``BRIDGE`` bytes, or whole words, on either side;
+   elsewhere only their single windows count). A window, written twice, is compressed behind
+   a fixed carrier with either dictionary. The pair of compressed lengths, with
+   the length of the window and its number of words, is a cell; Spark counts
+   the toxic and ordinary documents of every cell and the cell gets the
+   log-ratio of the two rates, less two standard errors and 0 at least.
 3. A document is as toxic as its most toxic window. The threshold with the
    best F1 on the calibration part becomes score 0.3.
 
-What leaves the executors is bounded by the dictionary sizes and the number
-of cells. Scoring reads every word of every text and needs no shuffle.
+What leaves the executors is bounded by the dictionary sizes, the bit table
+and the number of cells. Scoring reads every word of every text and needs no
+shuffle.
 
 Defined cases: null and empty texts have no window and score as the least
 toxic window would; labels that are null are ignored, several labels of one
@@ -28,6 +39,7 @@ document count as toxic if any is; without both classes every score is 0.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,8 +54,15 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from marquee.llm.common import BROADCAST_ROWS, Memory, P, crc_mod, kept_in_worker, materialised, ready
 
 WINDOW = 32
-TOXIC_BYTES, ORDINARY_BYTES = 32 << 10, 128 << 10
-#: A toxic word: between at least so many different neighbours in toxic documents, and so many times as frequent there as in ordinary ones.
+#: Bytes of words in either dictionary, and of passages in each.
+TOXIC_BYTES, ORDINARY_BYTES, PASSAGE_BYTES = 32 << 10, 128 << 10, 32 << 10
+#: Bytes of the strings that are counted inside long runs of letters, at most.
+GRAMS = (6, 12)
+#: Bytes on either side of a space that a window of several words has in common with a passage.
+BRIDGE = 4
+#: Bits of the table that picks passages to count.
+BITS = 1 << 24
+#: A toxic word or passage: in at least so many different toxic texts, and so many times as frequent there as in ordinary documents.
 LEAST, TIMES = 3, 20
 THRESHOLD = 0.3
 #: One labelled row in so many calibrates; the rest makes the dictionaries.
@@ -59,16 +78,81 @@ _COMPRESS = zs.ZstdCompressionParameters(
     strategy=zs.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def in_order(text: str | None) -> list[bytes]:
-    """The windows of a whole text."""
-    ws = (text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
-    if max(map(len, ws), default=0) > WINDOW:
-        ws = [w[i:i + WINDOW] for w in ws for i in range(0, len(w), WINDOW)]
-    return ws
+def _runs(text: str | None) -> list[bytes]:
+    """The runs of letters and digits of a whole text."""
+    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+
 
+def _cut(runs: list[bytes]) -> list[bytes]:
+    if max(map(len, runs), default=0) > WINDOW:
+        return [w[i:i + WINDOW] for w in runs for i in range(0, len(w), WINDOW)]
+    return runs
 
-def windows(text: str | None) -> set[bytes]:
-    return set(in_order(text))
+
+def in_order(text: str | None) -> list[bytes]:
+    """The single words of a whole text, long ones in cuts."""
+    return _cut(_runs(text))
+
+
+def _grams(run: bytes) -> set[bytes]:
+    """Strings of whole characters, up to either size of ``GRAMS``, from every character of a long run on."""
+    out, end = set(), len(run)
+    for i in range(end):
+        if run[i] & 0xC0 != 0x80:
+            for size in GRAMS:
+                j = i + size
+                if j <= end:
+                    while j < end and run[j] & 0xC0 == 0x80:
+                        j -= 1
+                    if j > i:
+                        out.add(run[i:j])
+    return out
+
+
+def _passages(runs: list[bytes], known: frozenset[bytes]) -> set[bytes]:
+    """Two and three neighbouring words, none of them long or ``known``, and the strings in long runs."""
+    out = set()
+    ws = [None if w in known or len(w) > WINDOW else w for w in runs]
+    for p, a, b in zip([None, *ws], ws, ws[1:]):
+        if a and b:
+            two = a + b" " + b
+            out.add(two)
+            if p:
+                out.add(p + b" " + two)
+    for w in runs:
+        if len(w) > WINDOW:
+            out |= _grams(w)
+    return out
+
+
+def windows(text: str | None, toxic: "Passages | None" = None) -> set[bytes]:
+    """The windows of a whole text: single words, overlapping cuts, and what may match a passage of the toxic dictionary."""
+    runs = _runs(text)
+    out = set(_cut(runs))
+    if max(map(len, runs), default=0) > WINDOW:
+        for w in runs:
+            if len(w) > WINDOW:
+                out.update(w[i:i + WINDOW] for i in range(WINDOW // 2, len(w) - WINDOW // 2, WINDOW))
+                if toxic and toxic.strings:
+                    out |= _grams(w) & toxic.strings
+    if toxic and toxic.bridges:
+        known, joined = toxic.bridges, False
+        for i, (a, b) in enumerate(zip(runs, runs[1:])):
+            before, joined = joined, a[-BRIDGE:] + b" " + b[:BRIDGE] in known and len(a) <= WINDOW and len(b) <= WINDOW
+            if joined:
+                two = a + b" " + b
+                out.add(two)
+                if before:
+                    out.add(runs[i - 1] + b" " + two)
+    return out
+
+
+class Passages:
+    """The passages of a toxic dictionary as ``windows`` looks them up."""
+
+    def __init__(self, passages: tuple[bytes, ...]):
+        self.strings = frozenset(p for p in passages if b" " not in p)
+        self.bridges = frozenset(a[-BRIDGE:] + b" " + b[:BRIDGE] for p in passages for ws in [p.split(b" ")] for a, b in zip(ws, ws[1:]))
 
 
 @dataclass
@@ -77,6 +161,7 @@ class Model:
     ordinary: bytes = b""
     cells: dict[int, float] = field(default_factory=dict)
     threshold: float = math.inf
+    passages: tuple[bytes, ...] = ()
 
 
 def twice(w: bytes) -> bytes:
@@ -101,7 +186,7 @@ class Lengths:
         got = self.known.get(w)
         if got is None:
             line = b"%b %b" % (CARRIER, twice(w))
-            got = (len(self.ordinary.compress(line)) << 12 | len(self.toxic.compress(line)) << 4 | min(len(w), 15))
+            got = (w.count(b" ") << 24 | len(self.ordinary.compress(line)) << 14 | len(self.toxic.compress(line)) << 4 | min(len(w), 15))
             self.known.put(w, got)
         return got
 
@@ -125,7 +210,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (word, neighbours, ordinary documents): a row per place in a toxic text, one per word of the others."""
+    """Rows (word, toxic text, ordinary documents): a row per word of a toxic text, one per word of the others."""
     counts: Counter = Counter()
 
     def out(ws, near, n):
@@ -133,25 +218,93 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for text, y in zip(b.column(0), b.column(1)):
-            ws = in_order(text.as_py())
+            t = text.as_py()
+            ws = set(in_order(t))
             if y.as_py() == 1:
-                near = [xxhash.xxh64_intdigest(p + b" " + n) >> 1 for p, n in zip([b"", *ws], [*ws[1:], b""])]
-                yield out(ws, near, [0] * len(ws))
+                yield out(list(ws), [_digest(t)] * len(ws), [0] * len(ws))
             else:
-                counts.update(set(ws))
+                counts.update(ws)
         if len(counts) > 400_000:
             yield out(list(counts), [None] * len(counts), list(counts.values()))
             counts.clear()
     yield out(list(counts), [None] * len(counts), list(counts.values()))
 
 
+def _digest(text: str | None) -> int:
+    return xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) >> 1
+
+
+def _toxic_passages(known):
+    """Rows (passage, toxic text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in b.column(0):
+                t = text.as_py()
+                ws = list(_passages(_runs(t), known.value))
+                yield pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array([_digest(t)] * len(ws), pa.int64())], ["w", "near"])
+    return run
+
+
+def _ordinary_passages(picked):
+    """Rows (passage, ordinary documents) of the passages that the bit table lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, bits = picked.value
+        counts: Counter = Counter()
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["w", "o"])
+
+        for b in batches:
+            for text in b.column(0):
+                for w in _passages(_runs(text.as_py()), known):
+                    at = zlib.crc32(w) % BITS
+                    if bits[at >> 3] >> (at & 7) & 1:
+                        counts[w] += 1
+            if len(counts) > 400_000:
+                yield out()
+                counts.clear()
+        yield out()
+    return run
+
+
+def _counted_passages(made: DataFrame, known: frozenset[bytes]) -> DataFrame | None:
+    """Passages in at least ``LEAST`` toxic texts: (w, t, o), None if there are none."""
+    spark = made.sparkSession
+    sent = spark.sparkContext.broadcast(known)  # as many words as a dictionary holds
+    few = made.where("y = 1").select("text").mapInArrow(_toxic_passages(sent), "w binary, near long").distinct()
+    few = materialised(few.groupBy("w").agg(F.count("near").alias("t")).where(F.col("t") >= LEAST))
+    at = F.crc32("w") % BITS
+    bits = bytearray(BITS // 8)
+    for r in few.groupBy(F.floor(at / 32).cast("int").alias("at")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(crc32(w) % 32 as int))")).alias("b")).toLocalIterator():  # a fixed number of rows at most
+        bits[4 * r["at"]:4 * r["at"] + 4] = r["b"].to_bytes(4, "little")
+    if not any(bits):
+        return None
+    found = made.where("y = 0").select("text").mapInArrow(
+        _ordinary_passages(spark.sparkContext.broadcast((known, bytes(bits)))), "w binary, o long").groupBy("w").agg(F.sum("o").alias("o"))
+    return materialised(few.join(found, "w", "left").select("w", "t", F.coalesce("o", F.lit(0)).alias("o")))
+
+
+def _shortest(passages: DataFrame) -> DataFrame:
+    """``passages`` without the runs of three words that hold a run of two."""
+    text = F.col("w").cast("string")
+    words = F.size(F.split(text, " "))
+    two = passages.where(words < 3)
+    three = passages.where(words == 3)
+    for k in (2, -2):
+        part = two.select(F.col("w").cast("string").alias("part"))
+        three = three.join(part, F.substring_index(text, " ", k) == F.col("part"), "left_anti")
+    return two.unionByName(three)
+
+
 def _count_cells(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = _lengths(*words.value)
+        *pair, passages = words.value
+        kept, toxic = _lengths(*pair), Passages(passages)
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for b in batches:
             for text, y in zip(b.column(0), b.column(1)):
-                counts[1 if y.as_py() == 1 else 0].update(set(map(kept.cell, windows(text.as_py()))))
+                counts[1 if y.as_py() == 1 else 0].update(set(map(kept.cell, windows(text.as_py(), toxic))))
         cs = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(cs, pa.int64()), pa.array([counts[1][c] for c in cs], pa.int64()),
@@ -162,10 +315,10 @@ def _count_cells(words):
 def _most_toxic(model, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        kept = _lengths(m.toxic, m.ordinary)
+        kept, toxic = _lengths(m.toxic, m.ordinary), Passages(m.passages)
         of = m.cells.get
         for b in batches:
-            raw = [max((of(kept.cell(w), 0.0) for w in windows(t.as_py())), default=-10.0) for t in b.column(text_at)]
+            raw = [max((of(kept.cell(w), 0.0) for w in windows(t.as_py(), toxic)), default=-10.0) for t in b.column(text_at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.float64())], [*b.schema.names, RAW])
     return run
 
@@ -179,15 +332,26 @@ def _raw(df: DataFrame, model: Model, text_col: str) -> DataFrame:
     return df.mapInArrow(_most_toxic(sent, df.columns.index(text_col)), schema)
 
 
-def _packed(ranked: list[bytes], size: int) -> bytes:
-    """The strongest words that fit, strongest last."""
+def _evidence(t: int, o: int, toxic: int, ordinary: int) -> float:
+    """Log-ratio of a cell's two rates less two standard errors, 0 at least: the largest of many cells must not be the thinnest."""
+    ratio = math.log((t + 0.2) / (toxic + 1)) - math.log((o + 2) / (ordinary + 1))
+    return max(0.0, ratio - 2 * math.sqrt(1 / (t + 0.2) + 1 / (o + 2)))
+
+
+def _fit(ranked: list[bytes], size: int) -> list[bytes]:
+    """The strongest words that fit."""
     out, n = [], 0
     for w in ranked:
         n += 2 * len(w) + 2
         if n > size:
             break
-        out.append(twice(w))
-    return b" " + b"".join(reversed(out))
+        out.append(w)
+    return out
+
+
+def _packed(ranked: list[bytes], size: int) -> bytes:
+    """The strongest words that fit, strongest last."""
+    return b" " + b"".join(map(twice, reversed(_fit(ranked, size))))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4, held: int = 2,
@@ -203,21 +367,33 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
         return Model()
     places = made.mapInArrow(_count_words, "w binary, near long, o long").groupBy("w", "near").agg(F.sum("o").alias("o"))
     words = places.groupBy("w").agg(F.count("near").alias("t"), F.sum("o").alias("o"))
-    often = (F.least("t", F.lit(sizes[1])) / sizes[1]) > TIMES * (F.col("o") + 0.5) / sizes[0]
-    # the shortest word takes 4 bytes: more words than that cannot be in a dictionary
-    toxic = words.where((F.col("t") >= LEAST) & often).orderBy(F.desc("t"), "w").limit(TOXIC_BYTES // 4).collect()
-    plain = words.where("o > 0").orderBy(F.desc("o"), "w").limit(ORDINARY_BYTES // 4).collect()
-    pair = (_packed([bytes(r["w"]) for r in toxic], TOXIC_BYTES), _packed([bytes(r["w"]) for r in plain], ORDINARY_BYTES))
-    cells = checked.mapInArrow(_count_cells(spark.sparkContext.broadcast(pair)), "cell long, t long, o long")
+    n_toxic = made.where("y = 1").select(F.xxhash64("text").alias("h")).distinct().count()
+    often = (F.col("t") >= LEAST) & (F.col("t") / n_toxic > TIMES * (F.col("o") + 0.5) / sizes[0])
+
+    def ranked(df: DataFrame, by: str, size: int) -> list[bytes]:
+        # the shortest word takes 4 bytes: more words than that cannot be in a dictionary
+        return [bytes(r["w"]) for r in df.orderBy(F.desc(by), "w").limit(size // 4).collect()]
+
+    toxic = ranked(words.where(often), "t", TOXIC_BYTES)
+    plain = ranked(words.where("o > 0"), "o", ORDINARY_BYTES)
+    counted = _counted_passages(made, frozenset(toxic))
+    bad = usual = []
+    if counted is not None:
+        bad = _fit(ranked(_shortest(counted.where(often)), "t", PASSAGE_BYTES), PASSAGE_BYTES)
+        usual = ranked(counted.where("o > 0").where(~often), "o", PASSAGE_BYTES)
+    pair = (_packed(bad, PASSAGE_BYTES) + _packed(toxic, TOXIC_BYTES), _packed(usual, PASSAGE_BYTES) + _packed(plain, ORDINARY_BYTES))
+    cells = checked.mapInArrow(_count_cells(spark.sparkContext.broadcast((*pair, tuple(bad)))), "cell long, t long, o long")
     cells = cells.groupBy("cell").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).collect()  # lengths only: bounded
     n = {r[0]: r[1] for r in checked.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
         return Model()
-    model = Model(*pair, {r["cell"]: math.log((r["t"] + 0.2) / (n[1] + 1)) - math.log((r["o"] + 2) / (n[0] + 1)) for r in cells})
+    model = Model(*pair, passages=tuple(bad), cells={r["cell"]: _evidence(r["t"], r["o"], n[1], n[0]) for r in cells})
     by = _raw(checked, model, "text").groupBy(RAW).agg(
         F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).orderBy(F.desc(RAW)).collect()  # a value for each cell at most
     best, hit, said = -1.0, 0, 0
     for k, r in enumerate(by):
+        if r[RAW] <= 0:  # nothing speaks for these documents
+            break
         hit, said = hit + r["t"], said + r["n"]
         f1 = 2 * hit / (said + n[1])
         if f1 > best:

@@ -92,3 +92,48 @@ def test_whole_dictionary_is_searched(size, start):
     first, middle, last = length(words[-300:]), length(words[len(words) // 2:][:300]), length(words[:300])
     unknown = length([w[:3] + w[:2:-1] for w in words[::20]])
     assert max(first, middle) < last + 1.5 < unknown
+
+
+def _toxic_model(spark, toxic, plain):
+    rows = [(i, t, int(i % 2 == 0)) for i, t in enumerate(x for p in zip(toxic, plain) for x in p)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    more = lambda t: {r["doc_id"]: r["score"] for r in toxicity.scored(spark.createDataFrame(t, "doc_id long, text string"), model).collect()}
+    return model, more
+
+
+def _sentences(n, seed):
+    rng = np.random.default_rng(seed)
+    return [" ".join(f"w{k}" for k in rng.integers(0, 200, 30)) for _ in range(n)]
+
+
+def test_toxic_word_in_one_fixed_phrase(spark):
+    """Documents are counted, not neighbours; copies of a text count once."""
+    a, b = _sentences(300, 1), _sentences(300, 2)
+    model, score = _toxic_model(spark, [t + " you utter zorgblat person now" for t in a], [t + " you utter kind person now" for t in b])
+    assert b" zorgblat zorgblat " in model.toxic
+    got = score([(1, b[0] + " zorgblat"), (2, b[0])])
+    assert got[1] >= toxicity.THRESHOLD > got[2]
+    model, _ = _toxic_model(spark, [a[0] + " zorgblat"] * 100 + [t + " mumfrip" for t in a[:100]], b[:200])
+    assert b"zorgblat" not in model.toxic and b"mumfrip" in model.toxic
+
+
+def test_toxic_phrase_of_ordinary_words(spark):
+    a, b = _sentences(400, 3), _sentences(400, 4)
+    model, score = _toxic_model(spark, [t + " w7 drop dead now w9" for t in a], [t + " drop w1 dead w2 now w3" for t in b])
+    assert any(b"drop dead" in p for p in model.passages)
+    got = score([(1, b[0] + " w3 drop dead w5"), (2, b[0] + " drop w3 dead w5")])
+    assert got[1] >= toxicity.THRESHOLD > got[2]
+
+
+def test_toxic_string_across_cuts(spark):
+    """In text without spaces a toxic string counts wherever it stands."""
+    rng = np.random.default_rng(5)
+    line = lambda: "".join(chr(0x4E00 + k) for k in rng.integers(0, 300, 40))
+    at = lambda t, k: t[:k] + "\u8822\u8823\u8824\u8825" + t[k:]
+    model, score = _toxic_model(spark, [at(line(), int(rng.integers(1, 39))) for _ in range(400)], [line() for _ in range(400)])
+    t = line()
+    got = score([(k, at(t, k)) for k in range(1, 39)] + [(100, t)])
+    assert all(got[k] >= toxicity.THRESHOLD > got[100] for k in range(1, 39))
+    assert b"a" * 8 + b"bc" + b"d" * 8 in b" ".join(toxicity.windows("x" * 22 + "a" * 8 + "bc" + "d" * 8 + "y" * 24))
