@@ -1,7 +1,8 @@
 """Quality classifier: naive Bayes support vectors.
 
-Features are indicators of n-grams, hashed into ``SIZE`` slots: words, and
-runs of one to three token shapes (letter case, length class, marks around
+Features are indicators of n-grams, hashed into ``SIZE`` slots: words, in words
+over ``TOKEN_CHARS`` characters (text without white space) also the strings of
+``PIECE`` characters from every character on, and runs of one to three token shapes (letter case, length class, marks around
 the word, and whether the word repeats the one before), so that learned
 habits carry over to unseen words.
 
@@ -43,8 +44,10 @@ SIZE = 1 << 18
 #: Rows that the linear model is fitted to, at most (about: a hash decides).
 SAMPLE = 12_000
 COST, EPOCHS, SMOOTH = 1.0, 12, 1.0
-#: Tokens remembered per worker; a full memory is emptied, results do not depend on it.
+#: Tokens up to ``TOKEN_CHARS`` characters are remembered per worker; a full memory is emptied, results do not depend on it.
 MEMORY, TOKEN_CHARS = 400_000, 48
+#: Characters of the strings that stand for the parts of a longer token.
+PIECE = 4
 _CORE = re.compile(r"^([^\w]*)(.*?)([^\w]*)$", re.S)
 
 
@@ -52,16 +55,27 @@ def _hashed(name: str) -> int:
     return xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass"), 11) & (SIZE - 1)
 
 
+def _parts(token: str) -> tuple[str, str, str]:
+    """Marks before, word and marks behind it, as ``_CORE`` finds them."""
+    i, j = 0, len(token)
+    while i < j and not (token[i].isalnum() or token[i] == "_"):
+        i += 1
+    while j > i and not (token[j - 1].isalnum() or token[j - 1] == "_"):
+        j -= 1
+    return token[:i], token[i:j], token[j:]
+
+
 def shape(token: str) -> str:
     """Case and length class of the word in a token, with the marks around it (at most three each)."""
-    if len(token) > 200:
-        return "long"
-    before, core, behind = _CORE.match(token).groups()
+    if len(token) > 200:  # the expression takes the square of the length
+        before, core, behind = _parts(token)
+    else:
+        before, core, behind = _CORE.match(token).groups()
     if not core:
         return "m" + token[:4]
     kind = ("d" if core.isdigit() else "l" if core.islower() else "u" if core.isupper() and len(core) > 1
             else "t" if core[0].isupper() and (core[1:].islower() or not core[1:]) else "x")
-    size = "0" if len(core) < 4 else "1" if len(core) < 9 else "2" if len(core) < 16 else "3"
+    size = "0" if len(core) < 4 else "1" if len(core) < 9 else "2" if len(core) < 16 else "3" if len(token) <= 200 else "4"
     return f"{before[-3:]}{kind}{size}{behind[:3]}"
 
 
@@ -69,10 +83,14 @@ class Features:
     def __init__(self):
         self.tokens: dict[str, tuple[str, int]] = {}
         self.runs: dict[tuple, int] = {}
+        self.pieces: set[int] = set()  # of the long tokens of one text
 
     def _token(self, t: str) -> tuple[str, int]:
-        got = (shape(t), _hashed("w " + t.strip(".,;:!?\"'()[]{}*#%&$|").lower()[:64]))
-        if len(t) <= TOKEN_CHARS:
+        got = (shape(t), _hashed("w " + t.strip(".,;:!?\"'()[]{}*#%&$|").lower()))
+        if len(t) > TOKEN_CHARS:
+            low = t.lower()
+            self.pieces.update([_hashed("c " + p) for p in {low[i:i + PIECE] for i in range(len(low) - PIECE + 1)}])
+        else:
             if len(self.tokens) > MEMORY:
                 self.tokens.clear()
             self.tokens[t] = got
@@ -90,7 +108,8 @@ class Features:
         ts = (text or "").split()
         known, make = self.tokens, self._token
         both = [known[t] if t in known else make(t) for t in ts]
-        out = {w for _, w in both}
+        out = {w for _, w in both} | self.pieces
+        self.pieces.clear()
         kinds = [s if t != u else "=" for (s, _), t, u in zip(both, ts, ["", *ts])]
         runs = {(k,) for k in kinds} | set(zip(kinds, kinds[1:])) | set(zip(kinds, kinds[1:], kinds[2:])) | {("n", str(len(ts).bit_length()))}
         have, run = self.runs, self._run

@@ -137,3 +137,14 @@ def test_toxic_string_across_cuts(spark):
     got = score([(k, at(t, k)) for k in range(1, 39)] + [(100, t)])
     assert all(got[k] >= toxicity.THRESHOLD > got[100] for k in range(1, 39))
     assert b"a" * 8 + b"bc" + b"d" * 8 in b" ".join(toxicity.windows("x" * 22 + "a" * 8 + "bc" + "d" * 8 + "y" * 24))
+
+
+def test_long_tokens_are_read_to_the_end():
+    """Text without white space: every character counts, the features before a difference stay the same."""
+    f = quality.Features()
+    a, b = "\u4e00\u4e01" * 60 + "\u5b57\u5178\u8a9e\u8a5e" + "\u3002", "\u4e00\u4e01" * 60 + "\u4eba\u540d\u6f22\u6587" + "\u3002"
+    assert len(set(f(a)) - set(f(b))) >= 5 and len(set(f(a)) & set(f(b))) >= 2
+    c = "\u8336\u9053" * 90 + "\u5b57\u5178\u8a9e\u8a5e"
+    assert quality._hashed("c \u5b57\u5178\u8a9e\u8a5e") in set(f(a)) & set(f(c))
+    assert quality.shape("x" * 300) != quality.shape("7" * 300) and quality.shape("(" * 150 + "ab" + "!" * 150) == "(((l0!!!"
+    assert f("short words") == quality.Features()("short words")
