@@ -1,7 +1,8 @@
 """Language identification with bit-sliced Bloom filters.
 
-One table of ``SLOTS`` words serves all languages: bit l of a slot belongs to
-the Bloom filter of language l. Looking up an n-gram reads ``HASHES`` slots
+One table of ``SLOTS`` words serves ``LANGUAGES`` languages: bit l of a slot
+belongs to the Bloom filter of language l. More languages get further tables
+(planes) with the same slots, one behind the other. Looking up an n-gram reads ``HASHES`` slots
 and ands them, which returns every language whose filter holds the n-gram in
 one go. A document adds up, per language, how many of its n-grams that filter
 holds (a popcount per bit); filled slots let through some n-grams that were
@@ -11,13 +12,13 @@ filter, and the largest corrected count decides.
 Training reads all documents with a language outside the held-out part: Spark
 counts in how many documents of each language an n-gram occurs, keeps those
 in at least ``SHARE`` of them, and merges slots by bitwise or. The table is
-what leaves the executors, its size is fixed.
+what leaves the executors, its size is fixed by the number of planes.
 
 N-grams are the four-letter strings of each lower-cased word with a space on
 either side. Defined cases: null texts and texts without a letter are
 ``und`` with score 0; a letter but no known n-gram gives the most frequent
 language with score 0; equal counts give the first language by name; no
-training rows give ``und``; more than 62 languages: the 62 most frequent.
+training rows give ``und``.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from marquee.llm.common import crc_mod, ready
 
+#: ``LANGUAGES``: languages of a plane, as many as an int64 has bits to spare.
 GRAM, SLOTS, HASHES, SHARE, LANGUAGES = 4, 1 << 20, 4, 0.02, 62
 #: Words remembered per worker; a full memory is emptied, results do not depend on it.
 MEMORY, WORD_CHARS = 500_000, 48
@@ -66,7 +68,8 @@ class Model:
 
     def rates(self) -> list[float]:
         """False-positive rate of each language's filter."""
-        return [float(np.mean(self.table >> k & 1)) ** HASHES for k in range(len(self.languages))]
+        planes = self.table.reshape(-1, SLOTS)
+        return [float(np.mean(planes[k // LANGUAGES] >> k % LANGUAGES & 1)) ** HASHES for k in range(len(self.languages))]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +105,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         at, bits = [], []
-        for gram, bit in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            at += slots(gram)
+        for gram, bit, plane in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            at += [s + plane * SLOTS for s in slots(gram)]
             bits += [bit] * HASHES
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(bits, pa.int64())], ["slot", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(bits, pa.int64())], ["slot", "bits"])
 
 
 def train(docs: DataFrame, mod: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text",
@@ -113,18 +116,18 @@ def train(docs: DataFrame, mod: int = 3, held: int = 1, id_col: str = "doc_id",
     ready(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_mod(F.col(id_col), mod) != held)).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    n = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    n = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # a row per language
     if not n:
         return Model()
     sizes = {r["lang"]: r["count"] for r in n}
     langs = sorted(sizes)
-    least = F.create_map(*[x for l in langs for x in (F.lit(l), F.lit(max(1.0, SHARE * sizes[l])))])
-    bit = F.create_map(*[x for k, l in enumerate(langs) for x in (F.lit(l), F.lit(1 << k).cast("long"))])
+    known = docs.sparkSession.createDataFrame(
+        [(l, max(1.0, SHARE * sizes[l]), k // LANGUAGES, 1 << k % LANGUAGES) for k, l in enumerate(langs)], "lang string, least double, plane int, bit long")
     kept = rows.mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    kept = kept.where(F.col("n") >= least[F.col("lang")]).groupBy("gram").agg(F.bit_or(bit[F.col("lang")]).alias("bits"))
-    filled = kept.mapInArrow(_fill, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
-    model = Model(langs, n[0]["lang"])
-    part = filled.toPandas()  # a row per slot at most
+    kept = kept.join(F.broadcast(known), "lang").where(F.col("n") >= F.col("least")).groupBy("gram", "plane").agg(F.bit_or("bit").alias("bits"))
+    filled = kept.select("gram", "bits", "plane").mapInArrow(_fill, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    model = Model(langs, n[0]["lang"], np.zeros(SLOTS * -(-len(langs) // LANGUAGES), np.int64))
+    part = filled.toPandas()  # a row per slot and plane at most
     model.table[part["slot"].to_numpy(np.int64)] = part["bits"].to_numpy(np.int64)
     return model
 
@@ -142,11 +145,15 @@ class Judge:
         """Packed counters of one n-gram: how many, and one field per language that holds it."""
         got = self.of_gram.get(g)
         if got is None:
-            table = self.model.table
-            mask = -1
-            for s in slots(g):
-                mask &= int(table[s])
-            got = 1 + sum(1 << FIELD * (k + 1) for k in range(len(self.model.languages)) if mask >> k & 1)
+            table, at, got = self.model.table, slots(g), 1
+            for plane in range(len(table) // SLOTS):
+                mask = -1
+                for s in at:
+                    mask &= int(table[s + plane * SLOTS])
+                while mask:
+                    low = mask & -mask
+                    got += 1 << FIELD * (plane * LANGUAGES + low.bit_length())
+                    mask ^= low
             if len(self.of_gram) > MEMORY:
                 self.of_gram.clear()
             self.of_gram[g] = got
@@ -177,7 +184,7 @@ class Judge:
 
 def predicted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; whole texts, no shuffle."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size a plane
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,3 +148,14 @@ def test_long_tokens_are_read_to_the_end():
     assert quality._hashed("c \u5b57\u5178\u8a9e\u8a5e") in set(f(a)) & set(f(c))
     assert quality.shape("x" * 300) != quality.shape("7" * 300) and quality.shape("(" * 150 + "ab" + "!" * 150) == "(((l0!!!"
     assert f("short words") == quality.Features()("short words")
+
+
+def test_more_languages_than_bits(spark):
+    names = [f"l{k:03d}" for k in range(130)]
+    word = lambda k, j: "".join(chr(97 + (k * 7919 + j * 104729) // 26 ** i % 26) for i in range(5)) + chr(97 + k % 26) + chr(97 + k // 26)
+    docs = spark.createDataFrame([(9 * k + c, " ".join(word(k, j) for j in range(8)), n) for k, n in enumerate(names) for c in range(9)],
+                                 "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model.languages == names and len(model.rates()) == 130
+    got = language_id.predicted(docs, model).select("lang", "lang_pred").collect()
+    assert [r for r in got if r["lang"] != r["lang_pred"]] == []
