@@ -3,10 +3,9 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(HERE))
+sys.path.insert(0, HERE)
 
 
 @pytest.fixture(scope="session")
@@ -15,7 +14,3 @@ def spark():
     s = get_session("local[*]", app="marquee-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def rows(spark, values, schema="row_id long, h string"):
-    return spark.createDataFrame(list(values), schema)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from testing_data import rows
 from marquee.operators import filters as FL
 from marquee.plans.prepare import prepare_headlines
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from testing_data import SF01
 from marquee.ml import ensemble as EN
 from marquee.ml import features as FT
 from marquee.ml import learners as L

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from testing_data import SF001
 
 FAST = ["prepare_headlines", "page_headlines", "clean_headline", "style_features", "filter_funnel",
         "merge_corpus", "balance_classes", "stratified_folds", "chi2_style", "length_describe",

@@ -31,7 +31,7 @@ def test_start_scoring_end_to_end(spark):
     from marquee.plans import fixtures as X
     from marquee.sources.models import save_model
     from marquee.streaming.score_stream import start_scoring
-    from conftest import SF001
+    from testing_data import SF001
     train = X.turn_train(spark, SF001)
     model = FT.build_pipeline(FT.CONFIGS["Baseline"], L.ScaledLogisticRegression(C=1.0, maxIter=50)).fit(train)
     model_path = scratch_path(spark, "stream-model")

@@ -3,7 +3,7 @@ import re
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from testing_data import rows
 from marquee.functions import patterns as P
 from marquee.functions import text as T
 from marquee.functions.style import style_columns
