@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, conversations, decontaminate, exact_dedup, language_id, licenses, quality, simhash, suffix_dedup, toxicity, url_filters
+from marquee.llm import bpe, conversations, decontaminate, exact_dedup, language_id, licenses, quality, simhash, spelling, suffix_dedup, token_files, toxicity, url_filters
 from marquee.llm.common import crc_mod, ready, table
 
 QUERIES = {}
@@ -97,12 +97,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(licenses.FOUND).cast("long").alias("n_licences"), F.array_join(licenses.FOUND, ",").alias("licences"))
 
 
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.written_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_damage(table(ready(spark), sf_dir, "conversations"))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op12_conversation_repair"] = conversations.ORACLE_SQL
+ORACLE_SQL["op13_spelling_variants"] = spelling.ORACLE_SQL
 ORACLE_SQL["op2_url_filters"] = url_filters.ORACLE_SQL
 ORACLE_SQL["op10_license_scan"] = licenses.oracle_sql()
 ORACLE_SQL["op9_exact_dedup"] = r"""
