@@ -139,6 +139,18 @@ class SublinearTf(_ColStage):
                                            .otherwise(F.lit(0.0))))
 
 
+def tfidf_stages(terms: list[str], idf: list[float], ic: str, oc: str, sublinear: bool) -> list:
+    """Stages from a term array to its L2-normalized tf-idf vector, for a given vocabulary."""
+    tf_col, w_col = f"_{oc}_tf", f"_{oc}_w"
+    stages = [CountVectorizerModel.from_vocabulary(terms, inputCol=ic, outputCol=tf_col)]
+    if sublinear:
+        stages.append(SublinearTf(inputCol=tf_col, outputCol=tf_col + "s"))
+        tf_col = tf_col + "s"
+    return stages + [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=tf_col, outputCol=w_col),
+                     Normalizer(p=2.0, inputCol=w_col, outputCol=oc),
+                     DropColumns(cols=sorted({f"_{oc}_tf", f"_{oc}_tfs", w_col}))]
+
+
 class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
     """Terms array -> L2-normalized tf-idf vector with smoothed idf + 1."""
     maxFeatures = Param(Params._dummy(), "maxFeatures", "vocabulary cap", TypeConverters.toInt)
@@ -162,14 +174,7 @@ class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol):
         rows = vocab.orderBy("idx").select("term", "idf").collect()
         terms = [r["term"] for r in rows] or ["\u0000"]
         idf = [float(r["idf"]) for r in rows] or [0.0]
-        tf_col, w_col = f"_{oc}_tf", f"_{oc}_w"
-        stages = [CountVectorizerModel.from_vocabulary(terms, inputCol=ic, outputCol=tf_col)]
-        if self.getOrDefault("sublinear"):
-            stages.append(SublinearTf(inputCol=tf_col, outputCol=tf_col + "s"))
-            tf_col = tf_col + "s"
-        stages += [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=tf_col, outputCol=w_col),
-                   Normalizer(p=2.0, inputCol=w_col, outputCol=oc),
-                   DropColumns(cols=sorted({f"_{oc}_tf", f"_{oc}_tfs", w_col}))]
+        stages = tfidf_stages(terms, idf, ic, oc, self.getOrDefault("sublinear"))
         return TfidfModel(PipelineModel(stages))
 
 

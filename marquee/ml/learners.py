@@ -13,7 +13,8 @@ computes its gradient, and partial sums are combined with ``treeAggregate``:
 
 * ``ElasticNetSGD``: modified-Huber / hinge / log / squared-hinge loss with
   an elastic-net penalty, minimised by FISTA (proximal step for L1);
-* ``AdaBoostStumps``: SAMME boosting of depth-1 trees via ``weightCol``;
+* ``AdaBoostStumps`` (``boosting``): SAMME boosting of depth-1 trees over features binned once;
+* ``DeepForest`` (``forest``): trees without a depth bound, grown in two phases;
 * ``ExactKNN``: exact k nearest neighbours over pairs of bounded blocks, the
   k best of each pair merged per query row.
 
@@ -28,10 +29,8 @@ import math
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       NaiveBayes, RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -40,7 +39,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee.functions import patterns as P
-from marquee.ml.parts import PartsModel
+from marquee.ml.blocks import csr_block
+from marquee.ml.boosting import AdaBoostModel, AdaBoostStumps  # noqa: F401
+from marquee.ml.forest import DeepForest
 from marquee.session import checkpoint_dir
 
 
@@ -90,16 +91,12 @@ class ScaledLinearSVC(_ScaledC):
 
 
 def random_forest(n_estimators=100, max_depth=None, max_features="sqrt", min_samples_leaf=1, seed=P.SEED):
-    """``max_depth=None`` maps to 30, MLlib's hard cap. Node statistics get a
-    1 GB budget per pass and node ids are cached (checkpointed every 10
-    levels) so deep trees need fewer passes over the data."""
-    return RandomForestClassifier(numTrees=n_estimators, maxDepth=30 if max_depth is None else max_depth,
-                                  featureSubsetStrategy=max_features, minInstancesPerNode=min_samples_leaf,
-                                  seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+    """Depth is bounded only if ``max_depth`` says so."""
+    return DeepForest(n_estimators, max_depth, max_features, min_samples_leaf, seed=seed)
 
 
 def decision_tree(seed=P.SEED):
-    return DecisionTreeClassifier(maxDepth=30, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
+    return DeepForest(1, max_features=None, bootstrap=False, seed=seed)
 
 
 def multinomial_nb(alpha=1.0):
@@ -112,25 +109,7 @@ def complement_nb(alpha=1.0):
 
 # --- linear models trained with distributed gradients ---------------------------
 
-def _as_sparse(v):
-    if isinstance(v, SparseVector):
-        return v.indices, v.values
-    a = v.toArray()
-    nz = np.nonzero(a)[0]
-    return nz, a[nz]
-
-
-def _csr_block(rows):
-    """Rows of (vector, label) -> one (indptr, indices, values, labels) block."""
-    indptr, idx, vals, ys = [0], [], [], []
-    for r in rows:
-        i, v = _as_sparse(r[0])
-        idx.append(np.asarray(i, dtype=np.int64))
-        vals.append(np.asarray(v, dtype=float))
-        indptr.append(indptr[-1] + len(i))
-        ys.append(r[1])
-    cat = (lambda xs, t: np.concatenate(xs).astype(t) if xs else np.zeros(0, dtype=t))
-    yield (np.asarray(indptr, dtype=np.int64), cat(idx, np.int64), cat(vals, float), np.asarray(ys, dtype=float))
+_csr_block = csr_block
 
 
 def _loss_grad(loss: str, z: np.ndarray, y01: np.ndarray):
@@ -301,84 +280,6 @@ class CSquaredHinge(_ScaledC):
         return est.fit(df)
 
 
-# --- boosting ----------------------------------------------------------------
-
-class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
-    """SAMME with depth-1 trees; sample weights live in a column."""
-    nEstimators = Param(Params._dummy(), "nEstimators", "rounds", TypeConverters.toInt)
-    checkpointEvery = Param(Params._dummy(), "checkpointEvery", "rounds between checkpoints", TypeConverters.toInt)
-
-    @keyword_only
-    def __init__(self, nEstimators=50, checkpointEvery=10, featuresCol="features", labelCol="label",
-                 predictionCol="prediction"):
-        super().__init__()
-        self._setDefault(nEstimators=50, checkpointEvery=10)
-        self._set(**self._input_kwargs)
-
-    def _fit(self, df):
-        checkpoint_dir(df.sparkSession)
-        fc, lc = self.getFeaturesCol(), self.getLabelCol()
-        n = df.agg(F.count(F.lit(1))).first()[0]
-        cur = df.select(fc, F.col(lc).cast("double").alias("_y"), F.lit(1.0 / n).alias("_w")).checkpoint()
-        stumps, alphas = [], []
-        for r in range(self.getOrDefault("nEstimators")):
-            tree = DecisionTreeClassifier(maxDepth=1, featuresCol=fc, labelCol="_y", weightCol="_w",
-                                          predictionCol="_p", rawPredictionCol="_rp", probabilityCol="_pp",
-                                          seed=P.SEED).fit(cur)
-            pred = tree.transform(cur)
-            agg = pred.agg(F.sum(F.when(F.col("_p") != F.col("_y"), F.col("_w")).otherwise(0.0)).alias("e"),
-                           F.sum("_w").alias("t")).first()
-            err = agg["e"] / agg["t"]
-            if err <= 0:
-                stumps.append(tree)
-                alphas.append(1.0)
-                break
-            if err >= 0.5:
-                if not stumps:
-                    stumps.append(tree)
-                    alphas.append(1.0)
-                break
-            a = math.log((1.0 - err) / err)
-            stumps.append(tree)
-            alphas.append(a)
-            nxt = pred.select(fc, "_y", (F.col("_w") * F.when(F.col("_p") != F.col("_y"), math.exp(a)).otherwise(1.0))
-                              .alias("_w"))
-            total = nxt.agg(F.sum("_w")).first()[0]
-            nxt = nxt.withColumn("_w", F.col("_w") / total)
-            cur = nxt.checkpoint() if (r + 1) % self.getOrDefault("checkpointEvery") == 0 else nxt.cache()
-        return AdaBoostModel(stumps, alphas, fc, self.getPredictionCol())
-
-
-class AdaBoostModel(Model, PartsModel):
-    def __init__(self, stumps=None, alphas=None, featuresCol="features", predictionCol="prediction"):
-        super().__init__()
-        self.stumps, self.alphas = stumps or [], alphas or []
-        self.fc, self.pc = featuresCol, predictionCol
-
-    def parts_and_values(self):
-        return list(self.stumps), [self.alphas, self.fc, self.pc]
-
-    @classmethod
-    def from_parts(cls, models, values):
-        return cls(models, *values)
-
-    def _transform(self, df):
-        score = F.lit(0.0)
-        out = df
-        for i, (t, a) in enumerate(zip(self.stumps, self.alphas)):
-            t = t.copy()
-            t.setPredictionCol(f"_ab{i}").setRawPredictionCol(f"_abr{i}").setProbabilityCol(f"_abp{i}")
-            out = t.transform(out).drop(f"_abr{i}", f"_abp{i}")
-            score = score + F.lit(a) * (2.0 * F.col(f"_ab{i}") - 1.0)
-        tot = sum(self.alphas) or 1.0
-        p1 = (score / tot + 1.0) / 2.0
-        from pyspark.ml.functions import array_to_vector
-        out = out.withColumn("rawPrediction", array_to_vector(F.array(-score, score)))
-        out = out.withColumn("probability", array_to_vector(F.array(1.0 - p1, p1)))
-        out = out.withColumn(self.pc, (score > 0).cast("double"))
-        return out.drop(*[f"_ab{i}" for i in range(len(self.stumps))])
-
-
 # --- exact k nearest neighbours ------------------------------------------------
 
 #: Bytes of vectors in one block of either side.

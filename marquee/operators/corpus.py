@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marquee.functions import patterns as P
 from marquee.functions import text as T
 from marquee.operators import ranking as R
+from marquee.session import checkpoint_dir
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str = "row_id") -> DataFrame:
@@ -48,27 +49,31 @@ def dedupe_normalized(df: DataFrame, col: str = "headline") -> DataFrame:
 def anti_join_base(new: DataFrame, base: DataFrame, col: str = "headline") -> DataFrame:
     """Rows of ``new`` whose normalized key is absent from ``base``.
 
-    Base keys are made distinct first (combined map-side), so a hot base key
-    ships once per task; AQE broadcasts the key set when it is small and
-    splits skewed partitions of ``new`` otherwise."""
-    base_keys = base.select(T.dedupe_key(F.col(col)).alias("_key")).distinct()
-    return (new.withColumn("_key", T.dedupe_key(F.col(col)))
-            .join(base_keys, "_key", "left_anti").drop("_key"))
+    Keys meet as 256-bit digests, so no text is a shuffle key. Base keys are
+    made distinct first (combined map-side), so a hot base key ships once per
+    task; AQE broadcasts the key set when it is small and splits skewed
+    partitions of ``new`` otherwise. A null headline has no key and stays."""
+    digest = F.unhex(F.sha2(T.dedupe_key(F.col(col)), 256))
+    base_keys = base.select(digest.alias("_key")).distinct()
+    return new.withColumn("_key", digest).join(base_keys, "_key", "left_anti").drop("_key")
 
 
 def _hash_cut(df: DataFrame, class_col: str, n_of, seed: int, id_col: str) -> "F.Column":
     """Boolean column: the row is among its class's first n in md5(row_id:seed) order.
 
     ``n_of(sizes)`` gives (class, _n) from the class sizes. Only ids and classes
-    are ranked, and of these one bucket per class; null classes are never in."""
+    are ranked, and of these one bucket per class; null classes are never in.
+    The narrow keys and the cuts (one row per class) are written once: ``df`` is
+    evaluated for them and for its rows, not for every count in between."""
+    checkpoint_dir(df.sparkSession)
     h = R.hash_order(id_col, seed)
     keys = (df.where(F.col(class_col).isNotNull())
             .select(F.col(class_col).alias("_class"), h.alias("_h"), F.col(id_col).alias("_id"))
-            .withColumn("_bucket", R.hash_bucket(F.col("_h"))))
+            .withColumn("_bucket", R.hash_bucket(F.col("_h"))).checkpoint())
     counts = R.bucket_counts(keys, "_class")
     sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_group_n"))
     wanted = n_of(sizes).select("_class", (F.col("_n") - 1).alias("_p"))
-    cuts = R.rows_at(keys, counts, wanted, "_class", ["_h", "_id"])
+    cuts = R.rows_at(keys, counts, wanted, "_class", ["_h", "_id"]).checkpoint()
     cut = cuts.agg(F.map_from_entries(F.collect_list(
         F.struct("_class", F.struct("_h", "_id"))))).scalar()
     mine = F.struct(h.alias("_h"), F.col(id_col).alias("_id"))
@@ -121,7 +126,8 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "label",
     """
     from pyspark.sql import Window as W
     known = df.where(F.col(label_col).isNotNull())
-    keys = R.id_bucket(known.select(F.col(label_col).alias("_class"), F.col(id_col).alias("_id")), "_id")
+    checkpoint_dir(df.sparkSession)
+    keys = R.id_bucket(known.select(F.col(label_col).alias("_class"), F.col(id_col).alias("_id")), "_id").checkpoint()
     counts = R.bucket_counts(keys, "_class")
     sizes = counts.groupBy("_class").agg(F.sum("_n").alias("_n"))
     start = F.coalesce(F.sum("_n").over(W.orderBy("_class").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -136,7 +142,7 @@ def stratified_folds(df: DataFrame, k: int = 5, label_col: str = "label",
         ends.append(ends[-1] + per_fold(i))
     # the first row of every later fold; a row's fold is the number of these at or before it
     wanted = classes.select("_class", F.posexplode(F.array(*ends)).alias("_i", "_p"))
-    cuts = R.rows_at(keys, counts, wanted, "_class", ["_id"])
+    cuts = R.rows_at(keys, counts, wanted, "_class", ["_id"]).checkpoint()
     cut = (cuts.groupBy("_class").agg(F.collect_list("_id").alias("_ids"))
            .agg(F.map_from_entries(F.collect_list(F.struct("_class", "_ids")))).scalar())
     mine = F.try_element_at(cut, F.col(label_col))

@@ -485,7 +485,8 @@ def q_idf(spark, sf):
 
 @query
 def q_tfidf_long(spark, sf):
-    counts = _all_counts(spark, sf)
+    checkpoint_dir(spark)
+    counts = _all_counts(spark, sf).checkpoint()  # written once, by row: for the vocabulary and for the weights
     tc = counts.select("row_id", "term", "tf")
     # at most max_features rows: broadcast, so that counts stay clustered by row up to the norm
     vocab = F.broadcast(_train_vocab(spark, sf, counts))

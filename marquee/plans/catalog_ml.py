@@ -24,7 +24,9 @@ from marquee.functions.style import style_columns
 from marquee.ml import ensemble as EN
 from marquee.ml import features as FT
 from marquee.ml import learners as L
+from marquee.ml import linear_grid as LG
 from marquee.ml import tuning as TU
+from marquee.ml.fold_features import FoldStore
 from marquee.operators import metrics as M
 from marquee.operators.corpus import split_stratified, stratified_folds
 from marquee.plans import fixtures as X
@@ -164,80 +166,94 @@ def _sorted_summaries(rows: list[DataFrame]) -> DataFrame:
     return out.orderBy(F.col("f1_mean").desc(), "pipeline")
 
 
-def _oof_features_once(spark, sf, grid: list, make_clf) -> DataFrame:
-    """(grid_index, fold, label, prediction) of every grid entry, with the feature
-    pipeline fitted once per fold (the reference refits it for every entry)."""
+def _folded(spark, sf) -> DataFrame:
     checkpoint_dir(spark)
     train = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
-    folded = stratified_folds(train, K_FOLDS).checkpoint()
+    return stratified_folds(train, K_FOLDS).checkpoint()
 
-    def fold_preds(f):
-        fm = FT.build_pipeline(FT.SHIPPED).fit(folded.where(F.col("fold") != f))
-        tr = fm.transform(folded.where(F.col("fold") != f)).select("label", "features").checkpoint()
-        te = fm.transform(folded.where(F.col("fold") == f)).select("label", "features").checkpoint()
-        outs = []
-        for gi, params in enumerate(grid):
-            pr = make_clf(params).fit(tr).transform(te)
-            outs.append(pr.select(F.lit(gi).alias("grid_index"), F.lit(f).alias("fold"), "label",
-                                  F.col("prediction").cast("int").alias("prediction")))
-        u = outs[0]
-        for o in outs[1:]:
-            u = u.unionByName(o)
-        return u.checkpoint()
 
+def _fold_vectors(store: FoldStore, cfg: FT.FeatureConfig) -> list[tuple[DataFrame, DataFrame]]:
+    """(training side, fold) of every fold; the folds' small jobs share the cluster."""
+    store.warm([cfg])
     with ThreadPoolExecutor(max_workers=K_FOLDS) as ex:
-        parts = list(ex.map(fold_preds, range(K_FOLDS)))
-    allp = parts[0]
-    for p_ in parts[1:]:
-        allp = allp.unionByName(p_)
-    return allp
+        return list(ex.map(lambda f: store.vectors(cfg, f), range(K_FOLDS)))
+
 
+def _grid_table(spark, per: DataFrame, grid: list[dict], point_of: list[int]) -> DataFrame:
+    """Mean and deviation over folds of (fold, point, macro_f1), for every grid entry."""
+    params = spark.createDataFrame([(i, point_of[i], {k: str(v) for k, v in g.items()}) for i, g in enumerate(grid)],
+                                   "grid_index int, point int, params map<string,string>")
+    means = per.groupBy("point").agg(F.round(F.avg("macro_f1"), 4).alias("f1_mean"), F.round(F.stddev_pop("macro_f1"), 4).alias("f1_std"))
+    return means.join(params, "point").select("grid_index", "f1_mean", "f1_std", "params")
 
-def _grid_features_once(spark, sf, grid: list[dict], make_clf) -> DataFrame:
-    """Cross-validated macro-F1 per grid point of a classifier on the shipped features."""
-    return _grid_scores(_oof_features_once(spark, sf, grid, make_clf), grid)
 
+def _linear_grid(spark, sf, grid: list[dict], point) -> DataFrame:
+    """Cross-validated macro-F1 of a grid of linear models on the shipped features, all folds and points fitted together.
 
-def _grid_scores(allp: DataFrame, grid: list[dict]) -> DataFrame:
-    spark = allp.sparkSession
-    per = M.macro_f1(allp, group_cols=["grid_index", "fold"])
-    params = spark.createDataFrame([(i, {k: str(v) for k, v in g.items()}) for i, g in enumerate(grid)],
-                                   "grid_index int, params map<string,string>")
-    return (per.groupBy("grid_index").agg(F.round(F.avg("macro_f1"), 4).alias("f1_mean"),
-                                          F.round(F.stddev_pop("macro_f1"), 4).alias("f1_std"))
-            .join(params, "grid_index"))
+    Entries that mean the same model (solver settings) share a column."""
+    pairs = _fold_vectors(FoldStore(_folded(spark, sf), [FT.SHIPPED], K_FOLDS), FT.SHIPPED)
+    wanted = [point(g) for g in grid]
+    points = list(dict.fromkeys(wanted))
+    weights = LG.fit({f: tr for f, (tr, _) in enumerate(pairs)}, points)
+    counts = LG.confusion({f: te for f, (_, te) in enumerate(pairs)}, weights)
+    per = LG.scores(counts, ["space", "point"])
+    return _grid_table(spark, per, grid, [points.index(w) for w in wanted])
 
 
 # The reference's grids (C x solver for LR collapses to C: solvers are internals).
 LR_GRID = [{"C": c} for c in (0.01, 0.1, 1.0, 10.0, 100.0)]
 SVC_GRID = [{"C": c, "loss": loss} for c in (0.01, 0.1, 1.0, 10.0, 100.0) for loss in ("hinge", "squared_hinge")]
-
-
+SGD_GRID = [{"loss": loss, "alpha": a, "penalty": p, "l1_ratio": r, "learning_rate": s}
+            for loss in ("hinge", "modified_huber", "log_loss") for a in (1e-5, 1e-4, 1e-3, 1e-2)
+            for p in ("l2", "l1", "elasticnet") for r in (0.15, 0.5) for s in ("optimal", "adaptive")]
 # The feature grid (vocabulary size x word n-grams x character n-grams).
 FEATURE_GRID = [{"word_max": m, "word_ngram": n, "char_range": c}
                 for m in (1000, 2500, 5000) for n in (1, 2) for c in ((3, 5), (4, 6))]
 
 
-def grid_search_features(spark, sf):
-    """All twelve points: the choice of the shipped feature pipeline. Not registered: sixty pipeline fits."""
-    checkpoint_dir(spark)
-    train = _split(spark, sf).where(~F.col("is_test")).drop("is_test")
-    folded = stratified_folds(train, K_FOLDS).checkpoint()
-    out = None
-    for gi, params in enumerate(FEATURE_GRID):
-        cfg = replace(FT.CONFIGS["Hybrid_v2_style"], **params)
-        est = FT.build_pipeline(cfg, L.ScaledLogisticRegression(C=1.0, maxIter=100))
-        preds = _oof_parallel(est, folded).withColumn("grid_index", F.lit(gi))
-        out = preds if out is None else out.unionByName(preds)
-    return _grid_scores(out, FEATURE_GRID)
+def _sgd_point(g: dict) -> LG.Point:
+    """The share of L1 counts for the elastic net only; the step schedule is the solver's."""
+    return LG.Point(g["loss"], alpha=g["alpha"], l1_ratio={"l2": 0.0, "l1": 1.0}.get(g["penalty"], g["l1_ratio"]))
+
+
+@query
+def q_grid_search_lr(spark, sf):
+    return _linear_grid(spark, sf, LR_GRID, lambda g: LG.Point("log_loss", C=g["C"]))
+
 
+@query
+def q_grid_search_svc(spark, sf):
+    return _linear_grid(spark, sf, SVC_GRID, lambda g: LG.Point(g["loss"], C=g["C"]))
 
-def _sweep_classifiers():
-    """The nine learners of the classifier study with their library defaults."""
+
+@query
+def q_grid_search_sgd(spark, sf):
+    return _linear_grid(spark, sf, SGD_GRID, _sgd_point)
+
+
+@query
+def q_grid_search_features(spark, sf):
+    """The choice of the shipped feature pipeline: texts are cut into terms once, sixty models are fitted together."""
+    configs = [replace(FT.CONFIGS["Hybrid_v2_style"], **g) for g in FEATURE_GRID]
+    store = FoldStore(_folded(spark, sf), configs, K_FOLDS)
+    store.warm(configs)
+    jobs = [(i, f) for i in range(len(configs)) for f in range(K_FOLDS)]
+    with ThreadPoolExecutor(max_workers=2 * K_FOLDS) as ex:
+        pairs = dict(zip(jobs, ex.map(lambda job: store.vectors(configs[job[0]], job[1]), jobs)))
+    spaces = {i * K_FOLDS + f: pairs[i, f] for i, f in jobs}
+    weights = LG.fit({s: tr for s, (tr, _) in spaces.items()}, [LG.Point("log_loss", C=1.0)])
+    counts = LG.confusion({s: te for s, (_, te) in spaces.items()}, weights)
+    counts = counts.withColumns({"point": F.expr(f"space div {K_FOLDS}").cast("int"), "space": F.col("space") % K_FOLDS})
+    return _grid_table(spark, LG.scores(counts, ["space", "point"]), FEATURE_GRID, list(range(len(FEATURE_GRID))))
+
+
+#: The learners of the classifier study with their library defaults: linear ones are fitted together, the others fold by fold.
+SWEEP_LINEAR = {"logistic_regression": LG.Point("log_loss", C=1.0), "linear_svc": LG.Point("squared_hinge", C=1.0),
+                "sgd": LG.Point("hinge", alpha=0.0001)}
+
+
+def _sweep_others():
     return {
-        "logistic_regression": L.ScaledLogisticRegression(C=1.0, maxIter=100),
-        "linear_svc": L.CSquaredHinge(C=1.0, maxIter=1000),
-        "sgd": L.ElasticNetSGD(loss="hinge", penalty="l2", alpha=0.0001),
         "knn": L.ExactKNN(k=5),
         "decision_tree": L.decision_tree(),
         "random_forest": L.random_forest(n_estimators=100, max_depth=None, max_features="sqrt", min_samples_leaf=1),
@@ -247,47 +263,58 @@ def _sweep_classifiers():
     }
 
 
-def classifier_sweep(spark, sf):
-    """Nine learners by macro-F1 on the same folds. Not registered: one run takes minutes at any size."""
-    names = list(_sweep_classifiers())
-    oof = _oof_features_once(spark, sf, names, lambda name: _sweep_classifiers()[name])
-    return _sorted_summaries([M.fold_summary(oof.where(F.col("grid_index") == i).drop("grid_index"), name)
-                              for i, name in enumerate(names)])
-
-
 @query
-def q_grid_search_lr(spark, sf):
-    return _grid_features_once(spark, sf, LR_GRID, lambda p: L.ScaledLogisticRegression(C=p["C"], maxIter=1000))
+def q_classifier_sweep(spark, sf):
+    """Nine learners by macro-F1 on the same folds and features, best first."""
+    pairs = _fold_vectors(FoldStore(_folded(spark, sf), [FT.SHIPPED], K_FOLDS), FT.SHIPPED)
+    pairs = [(tr.checkpoint(), te.checkpoint()) for tr, te in pairs]
+    weights = LG.fit({f: tr for f, (tr, _) in enumerate(pairs)}, list(SWEEP_LINEAR.values()))
+    counts = LG.confusion({f: te for f, (_, te) in enumerate(pairs)}, weights)
+    names = F.array(*map(F.lit, SWEEP_LINEAR))
+    counts = counts.select(F.get(names, F.col("point")).alias("pipeline"), F.col("space").alias("fold"), "label", "prediction", "n")
+
+    def one(job):
+        name, f = job
+        tr, te = pairs[f]
+        said = _sweep_others()[name].fit(tr).transform(te)
+        return said.groupBy("label", F.col("prediction").cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("pipeline"), F.lit(f).alias("fold"), "label", "prediction", "n").checkpoint()
+
+    jobs = [(name, f) for name in _sweep_others() for f in range(K_FOLDS)]
+    with ThreadPoolExecutor(max_workers=K_FOLDS) as ex:
+        for part in ex.map(one, jobs):
+            counts = counts.unionByName(part)
+    per = LG.scores(counts, ["pipeline", "fold"])
+    stats = [F.round(f(c), 4).alias(f"{n}_{s}") for n, c in (("f1", "macro_f1"), ("acc", "accuracy")) for s, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    return per.groupBy("pipeline").agg(*stats).orderBy(F.col("f1_mean").desc(), "pipeline")
 
 
-@query
-def q_grid_search_svc(spark, sf):
-    def make(p):
-        if p["loss"] == "hinge":
-            return L.ScaledLinearSVC(C=p["C"], maxIter=2000)
-        return L.CSquaredHinge(C=p["C"], maxIter=200)
-    return _grid_features_once(spark, sf, SVC_GRID, make)
+def _top_features(train: DataFrame, cfg: FT.FeatureConfig, top: int = 10) -> DataFrame:
+    model = FT.build_pipeline(cfg, L.ScaledLogisticRegression(C=1.0, maxIter=100)).fit(train)
+    pairs = TU.top_coefficients(model, top)
+    return train.sparkSession.createDataFrame([(i + 1, n, float(w)) for i, (n, w) in enumerate(pairs)],
+                                              "rank int, feature string, weight double")
 
 
-def _top_features(spark, sf, cfg: FT.FeatureConfig, top: int = 10) -> DataFrame:
-    d = _split(spark, sf)
-    model = FT.build_pipeline(cfg, L.ScaledLogisticRegression(C=1.0, maxIter=100)).fit(d.where(~F.col("is_test")))
-    pairs = TU.top_coefficients(model, top)
-    return spark.createDataFrame([(i + 1, n, float(w)) for i, (n, w) in enumerate(pairs)],
-                                 "rank int, feature string, weight double")
+def _train_rows(spark, sf) -> DataFrame:
+    checkpoint_dir(spark)
+    return _split(spark, sf).where(~F.col("is_test")).checkpoint()
 
 
 @query
 def q_top_features(spark, sf):
-    return _top_features(spark, sf, FT.CONFIGS["Hybrid_v2_style"])
+    return _top_features(_train_rows(spark, sf), FT.CONFIGS["Hybrid_v2_style"])
 
 
 @query
 def q_top_features_side_by_side(spark, sf):
+    """Four fits on one written split, side by side."""
+    names, train = ["Hybrid_v2_style", "Hybrid_v1", "Optimized_v2_tokenized", "Hybrid"], _train_rows(spark, sf)
+    with ThreadPoolExecutor(max_workers=len(names)) as ex:
+        tables = list(ex.map(lambda n: _top_features(train, FT.CONFIGS[n]), names))
     out = None
-    for name in ["Hybrid_v2_style", "Hybrid_v1", "Optimized_v2_tokenized", "Hybrid"]:
-        t = _top_features(spark, sf, FT.CONFIGS[name]).select(
-            "rank", F.col("feature").alias(f"{name}_Feature"), F.col("weight").alias(f"{name}_Weight"))
+    for name, t in zip(names, tables):
+        t = t.select("rank", F.col("feature").alias(f"{name}_Feature"), F.col("weight").alias(f"{name}_Weight"))
         out = t if out is None else out.join(t, "rank", "full")
     return out
 
@@ -339,7 +366,9 @@ def q_final_eval(spark, sf):
 # --- scoring and persistence ------------------------------------------------------
 
 def _shipped_model(spark, sf, rows: DataFrame):
-    return FT.build_pipeline(FT.SHIPPED, L.ScaledLogisticRegression(C=1.0, maxIter=1000)).fit(rows)
+    """The product: the stack on the shipped features."""
+    checkpoint_dir(spark)
+    return FT.build_pipeline(FT.SHIPPED, _stack()).fit(rows.checkpoint())
 
 
 @query

@@ -297,7 +297,13 @@ SQL["word_tokens"] = f"WITH {CLEAN_DOCS} {_pos_tokens('clean_docs', O.word_token
 SQL["word_tokens_default"] = f"WITH {DOCS} {_pos_tokens('docs', O.word_tokens('text', True))}"
 SQL["stopword_tokens"] = (f"WITH {DOCS} " + _pos_tokens(
     "docs", f"list_filter({O.word_tokens('text', True)}, lambda w: NOT list_contains({_STOP}, w))"))
-SQL["word_bigrams"] = f"WITH {CLEAN_DOCS} " + _term_counts("clean_docs", O.word_ngrams(O.word_tokens("clean"), 1, 2))
+# tokens are cut once and pairs come from the next row: a list expression would cut them again for every pair
+SQL["word_bigrams"] = (
+    f"WITH {CLEAN_DOCS}, toks AS MATERIALIZED (SELECT row_id, {O.word_tokens('clean')} AS t FROM clean_docs), "
+    "words AS MATERIALIZED (SELECT row_id, unnest(t) AS w, generate_subscripts(t, 1) AS pos FROM toks), "
+    "pairs AS (SELECT row_id, w || ' ' || lead(w) OVER (PARTITION BY row_id ORDER BY pos) AS term FROM words), "
+    "grams AS (SELECT row_id, w AS term FROM words UNION ALL SELECT row_id, term FROM pairs WHERE term IS NOT NULL) "
+    "SELECT row_id, term, CAST(count(*) AS BIGINT) AS tf FROM grams GROUP BY row_id, term")
 SQL["char_ngrams"] = (f"WITH {PAGE_HEADS}, ph AS (SELECT row_id, {O.clean_headline('headline')} AS clean FROM page_heads) "
                       + _term_counts("ph", O.char_wb_ngrams("clean", 3, 5)))
 TRAIN_VOCAB = SPLIT + (

@@ -41,7 +41,7 @@ def prepare_stream(stream: DataFrame, marker: str = P.OUTLET_A_SITE, a: str = P.
 def start_scoring(spark: SparkSession, source_dir: str, model_path: str, sink_dir: str,
                   checkpoint: str, marker: str = P.OUTLET_A_SITE, a: str = P.OUTLET_A,
                   b: str = P.OUTLET_B, available_now: bool = True):
-    """Parquet headlines in ``source_dir`` -> predictions appended to ``sink_dir``.
+    """Parquet headlines in ``source_dir`` -> predictions in ``sink_dir``, one folder for each batch.
 
     ``checkpoint`` must be on shared storage: the query restarts from it
     after a driver or executor loss.
@@ -52,9 +52,9 @@ def start_scoring(spark: SparkSession, source_dir: str, model_path: str, sink_di
 
     def score(batch: DataFrame, batch_id: int) -> None:
         out = model.transform(batch).select("row_id", "headline", "label",
-                                            F.col("prediction").cast("int").alias("prediction"),
-                                            F.lit(batch_id).alias("batch_id"))
-        out.write.mode("append").parquet(sink_dir)
+                                            F.col("prediction").cast("int").alias("prediction"))
+        # a batch that runs again after a failure replaces its own rows
+        out.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     w = prepared.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
