@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import checkpoint_dir
+from marquee.session import checkpoint_dir, scratch_path
 
 #: A hot key is split over this many sub-keys.
 SALTS = 64
@@ -38,12 +38,21 @@ def partitions(spark: SparkSession) -> int:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """Rows with a handle that is the same whenever the same table is scanned again.
+    """Rows with a handle; a table that has handles keeps them.
 
-    ``df`` has to be a scan of a written table (or a projection of one): its
-    splits, and the order of rows in a split, do not change between reads.
+    The handles follow the splits of one scan. Two scans may be split
+    differently (executors come and go), so whoever decides on handles and applies
+    the decision to the rows afterwards starts from ``stored_numbered``.
     """
-    return df.withColumn(f"{P}row", F.monotonically_increasing_id())
+    return df if f"{P}row" in df.columns else df.withColumn(f"{P}row", F.monotonically_increasing_id())
+
+
+def stored_numbered(df: DataFrame) -> DataFrame:
+    """``numbered`` rows, written once to the cluster's shared folder: every later read sees the same handles."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    numbered(df).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def salt(key: Column, salts: int = SALTS) -> Column:
@@ -64,7 +73,7 @@ def salted_lookup(rows: DataFrame, found: DataFrame, keys: list[str], by: str, s
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``numbered`` documents without the (checkpointed) row handles in ``dropped``.
+    """``stored_numbered`` documents without the (checkpointed) row handles in ``dropped``.
 
     The handles are counted first: up to ``BROADCAST_ROWS`` they are broadcast
     and the texts stay where they are, beyond that both sides are shuffled.

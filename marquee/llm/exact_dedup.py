@@ -7,8 +7,9 @@ Three stages, each comparing whole texts next to their digest:
    of all rows is merged in ``SALTS`` tasks;
 3. global: the salt winners, at most ``SALTS`` per group, are combined.
 
-Two texts with one digest and different content stay apart: the winner is
-then looked up by digest and content instead of by digest alone.
+Texts are grouped by digest and content. The winner is then looked up by
+digest and a second hash; should both be equal for two texts, the job stops
+with an error instead of merging them.
 
 Defined cases: a null text counts as empty; empty texts form a group like any
 other; a null id loses against any other id (``keep_id`` is null only if all
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import P, SALTS, materialised, numbered, salt, without_rows
+from marquee.llm.common import P, SALTS, materialised, numbered, salt, stored_numbered, without_rows
 
 SPACE = r"[\x20\x09-\x0D]+"
 ROW, DIG, SALT, NORM = f"{P}row", f"{P}digest", f"{P}salt", f"{P}norm"
@@ -65,5 +66,6 @@ def dedup_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = stored_numbered(docs)
     gone = dedup_decisions(docs, id_col, text_col).where(~F.col("kept")).select(ROW)
-    return without_rows(numbered(docs), materialised(gone))
+    return without_rows(docs, materialised(gone))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import P, materialised, numbered, partitions, salted_lookup, without_rows
+from marquee.llm.common import P, materialised, numbered, partitions, salted_lookup, stored_numbered, without_rows
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 ROW = f"{P}row"
@@ -286,8 +286,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one document left of each component: the smallest id, first in table order."""
+    docs = stored_numbered(docs)
     near = materialised(near_components(docs, id_col, text_col, shingle, max_bits))
     stays = (near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
              .agg(F.min(ROW).alias(ROW)).select(ROW))
     gone = near.select(ROW).join(stays, ROW, "left_anti")
-    return without_rows(numbered(docs), materialised(gone))
+    return without_rows(docs, materialised(gone))
