@@ -27,6 +27,7 @@ from marquee.ml import learners as L
 from marquee.ml import linear_grid as LG
 from marquee.ml import tuning as TU
 from marquee.ml.fold_features import FoldStore
+from marquee.ml.forest import ForestModel
 from marquee.operators import metrics as M
 from marquee.operators.corpus import split_stratified, stratified_folds
 from marquee.plans import fixtures as X
@@ -247,6 +248,38 @@ def q_grid_search_features(spark, sf):
     return _grid_table(spark, LG.scores(counts, ["space", "point"]), FEATURE_GRID, list(range(len(FEATURE_GRID))))
 
 
+# The forest grid.
+RF_GRID = [{"n_estimators": n, "max_depth": d, "min_samples_leaf": m, "max_features": f}
+           for n in (100, 200, 300) for d in (None, 10, 20) for m in (1, 2, 4) for f in ("sqrt", "log2")]
+
+
+@query
+def q_grid_search_rf(spark, sf):
+    """All 54 points from 18 forests a fold: a tree depends on its number only, so smaller forests are the first trees of larger ones."""
+    pairs = _fold_vectors(FoldStore(_folded(spark, sf), [FT.SHIPPED], K_FOLDS), FT.SHIPPED)
+    pairs = [(tr.checkpoint(), te.checkpoint()) for tr, te in pairs]
+    sizes = sorted({g["n_estimators"] for g in RF_GRID})
+    shapes = list(dict.fromkeys((g["max_depth"], g["min_samples_leaf"], g["max_features"]) for g in RF_GRID))
+
+    def one(job):
+        (depth, leaf, features), f = job
+        tr, te = pairs[f]
+        trees = L.random_forest(sizes[-1], depth, features, leaf).fit(tr).trees
+        for n in sizes:
+            te = ForestModel(trees[:n], predictionCol=f"p{n}").transform(te).drop("rawPrediction", "probability")
+        said = F.explode(F.array(*[F.struct(F.lit(n).alias("trees"), F.col(f"p{n}").cast("int").alias("prediction")) for n in sizes])).alias("x")
+        counts = te.select("label", said).groupBy("label", "x.trees", "x.prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+        return [(shapes.index(job[0]), f, r["trees"], r["label"], r["prediction"], r["n"]) for r in counts]  # a dozen rows
+
+    jobs = [(shape, f) for shape in shapes for f in range(K_FOLDS)]
+    with ThreadPoolExecutor(max_workers=K_FOLDS) as ex:
+        rows = [r for part in ex.map(one, jobs) for r in part]
+    counts = spark.createDataFrame(rows, "shape int, space int, trees int, label int, prediction int, n long")
+    counts = counts.withColumn("point", F.col("shape") * len(sizes) + F.array_position(F.array(*map(F.lit, sizes)), F.col("trees")).cast("int") - 1)
+    of = [shapes.index((g["max_depth"], g["min_samples_leaf"], g["max_features"])) * len(sizes) + sizes.index(g["n_estimators"]) for g in RF_GRID]
+    return _grid_table(spark, LG.scores(counts, ["space", "point"]), RF_GRID, of)
+
+
 #: The learners of the classifier study with their library defaults: linear ones are fitted together, the others fold by fold.
 SWEEP_LINEAR = {"logistic_regression": LG.Point("log_loss", C=1.0), "linear_svc": LG.Point("squared_hinge", C=1.0),
                 "sgd": LG.Point("hinge", alpha=0.0001)}
