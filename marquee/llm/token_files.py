@@ -24,9 +24,8 @@ Names hold a fresh random part, and only files named in the index count, so a
 task that runs twice, or dies half-way, leaves no trace in the dataset.
 
 Ids are the tokenizers library's. If the tokenizer drops white space and treats
-the words between on their own, words are encoded once and remembered; plain
-Latin words go straight to the library's model. Otherwise whole texts
-are encoded.
+the words between on their own, words are encoded once and remembered, and their
+pieces go straight to the library's model. Otherwise whole texts are encoded.
 
 Files are written and read by ``pyarrow.fs`` (local and mounted folders, hdfs,
 s3, gs), so ``spark.checkpoint.dir`` has to be a folder that it can reach.
@@ -38,8 +37,10 @@ are ignored; an empty table gives a dataset without files.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -47,12 +48,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import Memory, P, kept_in_worker, partitions, ready
+from marquee.llm.common import P, kept_in_worker, partitions, ready
 from marquee.session import scratch_path
 
 MAGIC = b"DACTOK01"
@@ -60,13 +60,17 @@ HEAD, LEVEL = struct.Struct("<8sQQII"), struct.Struct("<IIQQQQ")
 #: Bits of a bitmap counted by one entry of the directory.
 STRIDE = 512
 #: Levels and bits of an id, at most.
-LEVELS, BITS = 4, 32
+LEVELS, BITS = 3, 32
 #: Ids of a file, about: a document is never split.
 FILE_IDS = 1 << 21
+#: Ids read at a time, about; a document is read whole.
+STRETCH = 1 << 17
 #: Values packed at a time; bounds the memory of packing.
 CHUNK = 1 << 18
-#: Words and pieces remembered per worker and generation.
-MEMORY = 150_000
+#: Words and pieces remembered per worker and generation; longer words are not.
+MEMORY, WORD_CHARS = 300_000, 64
+#: Characters of texts encoded together, about.
+TOGETHER = 1 << 19
 
 
 # --- directly addressable codes ------------------------------------------------------
@@ -74,32 +78,33 @@ MEMORY = 150_000
 
 def packed(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of each value, lowest first."""
-    out = []
+    out, kind = [], np.uint8 if width <= 8 else np.uint16 if width <= 16 else np.uint32
     for a in range(0, len(values), CHUNK):  # a multiple of 8 values: whole bytes
-        v = values[a:a + CHUNK].astype(np.uint32)
-        bits = np.unpackbits(v.view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
+        v = values[a:a + CHUNK].astype(kind)
+        bits = np.unpackbits(v.view(np.uint8).reshape(len(v), -1), axis=1, count=width, bitorder="little")
         out.append(np.packbits(bits.reshape(-1), bitorder="little").tobytes())
     return b"".join(out)
 
 
 def unpacked(data: bytes, first_bit: int, n: int, width: int) -> np.ndarray:
     """``n`` values from bit ``first_bit`` of ``data`` on."""
+    kind = np.uint8 if width <= 8 else np.uint16 if width <= 16 else np.uint32
     bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")[first_bit:first_bit + n * width]
-    wide = np.zeros((n, 32), np.uint8)
+    wide = np.zeros((n, 8 * kind().itemsize), np.uint8)
     wide[:, :width] = bits.reshape(n, width)
-    return np.packbits(wide, axis=1, bitorder="little").view(np.uint32).reshape(-1)
+    return np.packbits(wide, bitorder="little").view(kind).astype(np.uint32)
 
 
 def widths(ids: np.ndarray) -> list[int]:
     """Level widths of the smallest code for these ids, by dynamic programming."""
-    need = np.maximum(1, np.frexp(ids.astype(np.float64))[1])
-    longer = np.array([(need > k).sum() for k in range(BITS + 1)])  # ids with more than k bits
-    top = int(need.max()) if len(ids) else 1
+    top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
+    longer = [int((ids >= 1 << k).sum()) if k else len(ids) for k in range(top + 1)]  # ids with more than k bits
+    goes_on = 1 + 64 / STRIDE                             # a bit of the bitmap and its share of the directory
     # best[l][k]: fewest bits for the levels up to bit k, in l levels
     best = {(0, 0): (0, ())}
     for level in range(1, LEVELS + 1):
         for k in range(1, top + 1):
-            found = [(best[level - 1, j][0] + longer[j] * (k - j) + (longer[j] if k < top else 0), (*best[level - 1, j][1], k - j))
+            found = [(best[level - 1, j][0] + longer[j] * (k - j + (goes_on if k < top else 0)), (*best[level - 1, j][1], k - j))
                      for j in range(k) if (level - 1, j) in best and (j or level == 1)]
             if found:
                 best[level, k] = min(found)
@@ -116,8 +121,8 @@ def encoded_file(ids: np.ndarray, doc_ids: list[int | None], starts: list[int])
         parts = [packed(rest, w), b"", b""]
         if k + 1 < len(cut):
             parts[1] = np.packbits(goes_on, bitorder="little").tobytes()
-            ends = np.concatenate(([0], np.cumsum(goes_on)))
-            parts[2] = ends[:n + 1:STRIDE].astype("<u8").tobytes()
+            blocks = np.add.reduceat(goes_on, np.arange(0, n, STRIDE), dtype=np.int64) if n else np.zeros(0, np.int64)
+            parts[2] = np.concatenate(([0], np.cumsum(blocks))).astype("<u8").tobytes()
             rest = more[goes_on]
         levels.append((w, n))
         blobs.append(parts)
@@ -199,9 +204,9 @@ class Reader:
 #: The parts of a tokenizer file that make white space vanish and let words be taken one by one.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
-#: Letters that stay one character under NFC and lower-casing, and marks that are a piece of their own behind them.
-_PLAIN = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_BYTE = None
+#: The same split for lower-cased ASCII words without white space.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_MARKS = frozenset(".,;:!?")
 
 
 def _byte_chars() -> list[str]:
@@ -218,55 +223,126 @@ def _byte_chars() -> list[str]:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers.
+
+    New words are cut into pieces, and all new pieces of a batch go to the
+    library's model in one call: the last id of every piece ends a word, so the
+    ids of the batch fall apart again. Letters up to U+00FF stay one character
+    under NFC and lower-casing; words with others go through the whole tokenizer.
+    """
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.lib = Tokenizer.from_str(spec)
         self.lib.no_truncation()
         self.lib.no_padding()
         d = json.loads(spec)
         split = (d.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        added = [a for a in d["added_tokens"] if a["normalized"] or a["lstrip"] or a["rstrip"] or a["single_word"] or regex.search(r"\s", a["content"])]
-        self.by_word = ((d.get("normalizer") or {}).get("normalizers") == _NORMAL and len(split) == 2 and split[0].get("type") == "Split"
-                        and split[0]["pattern"] == {"Regex": _SPLIT} and split[0]["behavior"] == "Removed" and split[0]["invert"]
-                        and split[1] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False} and not added)
-        self.added = [a["content"] for a in d["added_tokens"]]
-        self.chars = dict(enumerate(_byte_chars()))
-        self.words, self.pieces = Memory(MEMORY), Memory(MEMORY)
+        end = d["model"].get("end_of_word_suffix")
+        added = [a for a in d["added_tokens"] if a["normalized"] or a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] or "\n" in a["content"]]
+        self.by_word = bool(
+            (d.get("normalizer") or {}).get("normalizers") == _NORMAL and len(split) == 2 and split[0].get("type") == "Split"
+            and split[0]["pattern"] == {"Regex": _SPLIT} and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and split[1] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False} and not added and end)
+        if self.by_word:
+            self.marks = [a["content"] for a in d["added_tokens"]]
+            self.chars = dict(enumerate(_byte_chars()))
+            self.model = Tokenizer(self.lib.model)
+            self.model.pre_tokenizer = WhitespaceSplit()
+            vocab = d["model"]["vocab"]
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
+            self.young, self.old = {}, {}                 # words and pieces, in two generations
+            gc.freeze()                                   # the tables hold no cycles
 
     @staticmethod
     def _bytes(ids) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        """A lower-cased run of letters or of marks: what the library's model makes of it."""
-        got = self.pieces.get(piece)
-        if got is None:
-            seen = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.chars)
-            got = self._bytes([t.id for t in self.lib.model.tokenize(seen)])
-            self.pieces.put(piece, got)
-        return got
-
-    def _word(self, word: str) -> bytes:
-        m = _PLAIN.fullmatch(word)
-        if m is None or len(word) > 64:
-            got = self._bytes(self.lib.encode(word, add_special_tokens=False).ids)
-        else:
-            got = self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"")
-        if len(word) <= 64:
-            self.words.put(word, got)
-        return got
-
-    def text(self, text: str | None) -> bytes:
+    def _learn(self, new: list[str]) -> None:
+        """Encode words that neither generation knows; letters in lower case are a piece, and mostly a word."""
+        young, get = self.young, self.old.get
+        letters, marked, others, whole = [], [], [], []
+        for w in new:
+            if w.isalpha():
+                (letters if w.islower() and (w.isascii() or max(w) <= "\u00ff") else whole).append(w)
+                continue
+            body = w[:-1]
+            if w[-1] in _MARKS and body.isalpha() and body.islower() and (body.isascii() or max(body) <= "\u00ff"):
+                marked.append(w)
+            elif w.isascii() and not any(m in w for m in self.marks) and not any(c in w for c in "\t\r\x0b\x0c"):
+                others.append((w, _ASCII.findall(w.lower())))
+            else:
+                whole.append(w)
+        wanted = set(letters)
+        for p in {w[:-1] for w in marked}.union(_MARKS, *(c for _, c in others)).difference(young):
+            got = get(p)
+            if got is None:
+                wanted.add(p)
+            else:
+                young[p] = got
+        fresh = list(wanted)
+        for a in range(0, len(fresh), 8192):
+            some = fresh[a:a + 8192]
+            # a byte-level vocabulary spells other characters as bytes
+            seen = " ".join([p if p.isalnum() and p.isascii() else p.encode().decode("latin-1").translate(self.chars) for p in some])
+            ids = np.array(self.model.encode(seen, add_special_tokens=False).ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(some):
+                raise ValueError("a piece does not end where its word ends")
+            raw, at = ids.tobytes(), 0
+            for p, stop in zip(some, stops):
+                young[p] = raw[at:stop]
+                at = stop
+        for w in marked:
+            young[w] = young[w[:-1]] + young[w[-1]]
+        for w, c in others:
+            young[w] = b"".join([young[p] for p in c])
+        if whole:
+            for w, e in zip(whole, self.lib.encode_batch(whole, add_special_tokens=False)):
+                young[w] = self._bytes(e.ids)
+
+    def _lower(self, text: str | None) -> str:
+        """Latin-1 text without special tokens may be lower-cased as a whole; the library does the others word by word."""
         if not text:
-            return b""
+            return ""
+        if any(m in text for m in self.marks):
+            return text
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        return text.lower()
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
         if not self.by_word:
-            return self._bytes(self.lib.encode(text, add_special_tokens=False).ids)
-        known = self.words.get
+            return [self._bytes(e.ids) for e in self.lib.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         # line feeds and spaces only: other white space stays inside a word and is the library's
-        return b"".join([known(w) or self._word(w) for w in text.replace("\n", " ").split(" ") if w])
+        words = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
+        self.young[""] = b""
+        unknown = []
+        for w in set().union(*words).difference(self.young):
+            got = self.old.get(w)
+            if got is None:
+                unknown.append(w)
+            else:
+                self.young[w] = got
+        if unknown:
+            self._learn(unknown)
+        out = [b"".join(map(self.young.__getitem__, ws)) for ws in words]
+        # long words are kept for this batch only, and a full generation makes room
+        if max(map(len, unknown), default=0) > WORD_CHARS:
+            self.young = {w: b for w, b in self.young.items() if len(w) <= WORD_CHARS}
+        if len(self.young) > MEMORY:
+            self.old, self.young = self.young, {}
+        return out
+
+    def text(self, text: str | None) -> bytes:
+        return self.texts([text])[0]
 
 
 # --- writing -------------------------------------------------------------------------
@@ -280,6 +356,22 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """Ids and texts of a bounded number of characters at a time (one text may be longer)."""
+    docs, texts, size = [], [], 0
+    for b in batches:
+        for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+            t = t.as_py()
+            docs.append(i)
+            texts.append(t)
+            size += len(t or "")
+            if size > TOGETHER:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def _write_task(folder: str, spec, end_id: int | None, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -294,18 +386,21 @@ def _write_task(folder: str, spec, end_id: int | None, file_ids: int):
             with store.open_output_stream(f"{path}/{name}") as f:
                 f.write(encoded_file(np.frombuffer(b"".join(held), "<u4"), docs, starts))
             done.append((name, part, len(done), len(docs), n))
-        for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.text(text.as_py()) + end
-                held.append(ids)
-                docs.append(i)
-                n += len(ids) // 4
-                starts.append(n)
-                if n >= file_ids:
-                    write()
-                    held, docs, starts, n = [], [], [0], 0
-        if docs:
-            write()
+        gc.disable()                                      # words and ids hold no cycles: nothing to look for in the memories
+        try:
+            for doc_ids, texts in _together(batches):
+                for i, ids in zip(doc_ids, enc.texts(texts)):
+                    held += (ids, end)
+                    docs.append(i)
+                    n += (len(ids) + len(end)) // 4
+                    starts.append(n)
+                    if n >= file_ids:
+                        write()
+                        held, docs, starts, n = [], [], [0], 0
+            if docs:
+                write()
+        finally:
+            gc.enable()
         cols = list(zip(*done)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
                                          ["file", "part", "seq", "n_docs", "n_ids"])
@@ -381,15 +476,21 @@ def _read_task(folder: str, columns: list[str]):
                 dac = Reader(lambda at, n: whole[at:at + n])
                 docs, starts = dac.documents()
                 starts = starts.astype(np.int64)
-                for a in range(0, len(docs), 1024):
-                    ids = [dac.ids(int(s), int(e)).astype("<u4").tobytes() for s, e in zip(starts[a:], starts[a + 1:a + 1025])]
-                    cols = {"doc_id": pa.array(docs[a:a + 1024], pa.int64()), "start": pa.array(starts[a:a + len(ids)] + r["start"], pa.int64()),
-                            "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64())}
+                a = 0
+                while a < len(docs):
+                    # the documents of one stretch of ids, one document at least
+                    b_ = max(a + 1, int(np.searchsorted(starts, starts[a] + STRETCH, "right")) - 1)
+                    raw, lens = dac.ids(int(starts[a]), int(starts[b_])).astype("<u4").tobytes(), np.diff(starts[a:b_ + 1])
+                    ends = (4 * (starts[a + 1:b_ + 1] - starts[a])).tolist()
+                    parts = [raw[x:y] for x, y in zip([0, *ends], ends)]
+                    cols = {"doc_id": pa.array(docs[a:b_], pa.int64()), "start": pa.array(starts[a:b_] + r["start"], pa.int64()),
+                            "n_tokens": pa.array(lens, pa.int64())}
                     if "ids_crc32" in columns:
-                        cols["ids_crc32"] = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+                        cols["ids_crc32"] = pa.array([zlib.crc32(x) for x in parts], pa.int64())
                     if "ids" in columns:
-                        cols["ids"] = pa.array([np.frombuffer(x, "<u4").astype(np.int64).tolist() for x in ids], pa.list_(pa.int64()))
+                        cols["ids"] = pa.array([np.frombuffer(x, "<u4").astype(np.int64).tolist() for x in parts], pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_pydict({c: cols[c] for c in columns})
+                    a = b_
     return run
 
 
