@@ -1,35 +1,38 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-Training, on labelled rows outside the held-out part:
+Training, on labelled rows outside the held-out part, which are written once:
 
 1. Spark counts in how many ordinary documents, and in how many different
    toxic texts, each word occurs (all rows of the dictionary part; copies of a
-   toxic text count once). Then it counts passages the same way: runs of two and
-   three words without a toxic word, and in runs of letters over ``WINDOW``
+   toxic text count once). Passages are counted next: runs of two and three
+   words without a toxic word, and in runs of letters over ``WINDOW``
    bytes (CJK, joined words) the strings of up to ``GRAMS`` bytes from every
-   character on. Of the ordinary documents only passages that ``LEAST`` toxic
-   texts hold are counted (a bit table of fixed size picks them, a join
-   decides). The toxic dictionary holds the words and passages that are far
-   more frequent in toxic documents, the ordinary dictionary the most frequent
-   words of ordinary ones and the commonest of the passages counted, each up to
-   a fixed size, words behind passages and the strongest last, where references
-   cost least. Both are zstandard dictionaries of raw content.
+   character on. The toxic passages that stand in a share ``SUPPORT`` of the
+   toxic texts are taken by descending count, ``BLOCK`` at a time; each block is
+   counted exactly in all ordinary documents, and what is far more frequent in
+   toxic ones goes into the dictionary until it is full. Ordinary passages are
+   chosen from ordinary text alone: every task keeps the ``HITTERS`` most frequent by
+   the Misra-Gries rule (a passage more frequent than 1 in ``HITTERS`` cannot
+   be missed), and the best of their sums are counted again exactly.
+   The toxic dictionary holds words and passages that are far more frequent in
+   toxic documents, the ordinary dictionary the most frequent
+   words and passages of ordinary ones, each up to a fixed size, words behind passages
+   and the strongest last, where references cost least. Both are zstandard
+   dictionaries of raw content.
 2. The other labelled rows, each text once, calibrate. A window is one word;
    long runs give overlapping cuts of ``WINDOW`` bytes, and strings that stand
    in the toxic dictionary; two or three neighbouring words are a window where
-   the toxic dictionary matches across each space between them (it holds a
-   passage with the same ``BRIDGE`` bytes, or whole words, on either side;
-   elsewhere only their single windows count). A window, written twice, is compressed behind
-   a fixed carrier with either dictionary. The pair of compressed lengths, with
-   the length of the window and its number of words, is a cell; Spark counts
-   the toxic and ordinary documents of every cell and the cell gets the
-   log-ratio of the two rates, less two standard errors and 0 at least.
-3. A document is as toxic as its most toxic window. The threshold with the
-   best F1 on the calibration part becomes score 0.3.
-
-What leaves the executors is bounded by the dictionary sizes, the bit table
-and the number of cells. Scoring reads every word of every text and needs no
-shuffle.
+   the toxic dictionary holds them as a passage. A window, written twice, is
+   compressed behind a fixed carrier with either dictionary. The pair of
+   compressed lengths, with the length of the window and its number of words, is
+   a cell; Spark counts the toxic and ordinary documents of every cell and the
+   cell gets the log-ratio of the two rates, less two standard errors and 0 at least.
+3. A document is as toxic as its ``TOP`` most toxic windows together. The
+   threshold with the best F1 on the calibration part becomes score 0.3.
+
+What leaves the executors is bounded by the dictionary sizes, a block of
+passages, the summaries and the number of cells. Scoring reads every word of every
+text and needs no shuffle.
 
 Defined cases: null and empty texts have no window and score as the least
 toxic window would; labels that are null are ignored, several labels of one
@@ -38,8 +41,8 @@ document count as toxic if any is; without both classes every score is 0.
 
 from __future__ import annotations
 
+import heapq
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -52,16 +55,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from marquee.llm.common import BROADCAST_ROWS, Memory, P, crc_mod, kept_in_worker, materialised, ready
+from marquee.session import scratch_path
 
 WINDOW = 32
 #: Bytes of words in either dictionary, and of passages in each.
 TOXIC_BYTES, ORDINARY_BYTES, PASSAGE_BYTES = 32 << 10, 128 << 10, 32 << 10
 #: Bytes of the strings that are counted inside long runs of letters, at most.
 GRAMS = (6, 12)
-#: Bytes on either side of a space that a window of several words has in common with a passage.
-BRIDGE = 4
-#: Bits of the table that picks passages to count.
-BITS = 1 << 24
+#: Share of the toxic texts that hold a passage of the dictionary, at least.
+SUPPORT = 0.01
+#: Toxic passages counted in the ordinary documents at a time; ordinary passages that a task remembers.
+BLOCK, HITTERS = 1 << 16, 20_000
+#: Windows that make up a document's score.
+TOP = 2
 #: A toxic word or passage: in at least so many different toxic texts, and so many times as frequent there as in ordinary documents.
 LEAST, TIMES = 3, 20
 THRESHOLD = 0.3
@@ -69,13 +75,13 @@ THRESHOLD = 0.3
 PARTS = 3
 CARRIER = b"the of and that the of and that the of and that"
 #: Windows remembered per worker and generation.
-MEMORY = 400_000
+MEMORY = 120_000
 
 _LETTERS = bytes(c if c >= 128 or 48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256))
 #: A binary tree keeps 2^(chain_log - 1) places: more than the longer dictionary has bytes. The search goes far enough for words in sorted order.
 _COMPRESS = zs.ZstdCompressionParameters(
     window_log=19, hash_log=17, chain_log=19, search_log=10, min_match=3, target_length=64,
-    strategy=zs.STRATEGY_BTOPT, write_content_size=False, write_checksum=False, write_dict_id=False)
+    strategy=zs.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
 def _runs(text: str | None) -> list[bytes]:
@@ -126,7 +132,7 @@ def _passages(runs: list[bytes], known: frozenset[bytes]) -> set[bytes]:
 
 
 def windows(text: str | None, toxic: "Passages | None" = None) -> set[bytes]:
-    """The windows of a whole text: single words, overlapping cuts, and what may match a passage of the toxic dictionary."""
+    """The windows of a whole text: single words, overlapping cuts, and the passages of the toxic dictionary."""
     runs = _runs(text)
     out = set(_cut(runs))
     if max(map(len, runs), default=0) > WINDOW:
@@ -135,24 +141,35 @@ def windows(text: str | None, toxic: "Passages | None" = None) -> set[bytes]:
                 out.update(w[i:i + WINDOW] for i in range(WINDOW // 2, len(w) - WINDOW // 2, WINDOW))
                 if toxic and toxic.strings:
                     out |= _grams(w) & toxic.strings
-    if toxic and toxic.bridges:
-        known, joined = toxic.bridges, False
-        for i, (a, b) in enumerate(zip(runs, runs[1:])):
-            before, joined = joined, a[-BRIDGE:] + b" " + b[:BRIDGE] in known and len(a) <= WINDOW and len(b) <= WINDOW
-            if joined:
-                two = a + b" " + b
-                out.add(two)
-                if before:
-                    out.add(runs[i - 1] + b" " + two)
-    return out
+    return out | toxic.among(runs) if toxic and toxic.first else out
 
 
 class Passages:
-    """The passages of a toxic dictionary as ``windows`` looks them up."""
+    """Passages as they are looked up in the words of a text."""
 
-    def __init__(self, passages: tuple[bytes, ...]):
+    def __init__(self, passages):
         self.strings = frozenset(p for p in passages if b" " not in p)
-        self.bridges = frozenset(a[-BRIDGE:] + b" " + b[:BRIDGE] for p in passages for ws in [p.split(b" ")] for a, b in zip(ws, ws[1:]))
+        self.whole = frozenset(p for p in passages if b" " in p)
+        self.first = frozenset(p[:p.index(b" ")] for p in self.whole)
+
+    def among(self, runs: list[bytes]) -> set[bytes]:
+        """The passages of two and three words that stand in these words."""
+        out, whole = set(), self.whole
+        for i in [i for i, w in enumerate(runs) if w in self.first]:
+            for n in (2, 3):
+                p = b" ".join(runs[i:i + n])
+                if p in whole:
+                    out.add(p)
+        return out
+
+    def of(self, runs: list[bytes]) -> set[bytes]:
+        """All of the passages that a text holds."""
+        out = self.among(runs) if self.first else set()
+        if self.strings:
+            for w in runs:
+                if len(w) > WINDOW:
+                    out |= _grams(w) & self.strings
+        return out
 
 
 @dataclass
@@ -182,16 +199,19 @@ class Lengths:
         d.precompute_compress(compression_params=_COMPRESS)
         return zs.ZstdCompressor(dict_data=d, compression_params=_COMPRESS)
 
+    def worked_out(self, w: bytes) -> int:
+        line = b"%b %b" % (CARRIER, twice(w))
+        return w.count(b" ") << 24 | len(self.ordinary.compress(line)) << 14 | len(self.toxic.compress(line)) << 4 | min(len(w), 15)
+
     def cell(self, w: bytes) -> int:
         got = self.known.get(w)
         if got is None:
-            line = b"%b %b" % (CARRIER, twice(w))
-            got = (w.count(b" ") << 24 | len(self.ordinary.compress(line)) << 14 | len(self.toxic.compress(line)) << 4 | min(len(w), 15))
+            got = self.worked_out(w)
             self.known.put(w, got)
         return got
 
 
-def _lengths(toxic: bytes, ordinary: bytes) -> Lengths:
+def _lengths(toxic: bytes, ordinary: bytes) -> "Lengths":
     """One memory per worker process and pair of dictionaries."""
     return kept_in_worker(("toxicity", toxic, ordinary), lambda: Lengths(toxic, ordinary))
 
@@ -224,7 +244,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield out(list(ws), [_digest(t)] * len(ws), [0] * len(ws))
             else:
                 counts.update(ws)
-        if len(counts) > 400_000:
+        if len(counts) > 150_000:
             yield out(list(counts), [None] * len(counts), list(counts.values()))
             counts.clear()
     yield out(list(counts), [None] * len(counts), list(counts.values()))
@@ -245,56 +265,74 @@ def _toxic_passages(known):
     return run
 
 
-def _ordinary_passages(picked):
-    """Rows (passage, ordinary documents) of the passages that the bit table lets through."""
+def _only(wanted):
+    """Rows (passage, documents) of the given passages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = picked.value
-        counts: Counter = Counter()
+        passages, counts = Passages(wanted.value), Counter()
+        for b in batches:
+            for text in b.column(0):
+                counts.update(passages.of(_runs(text.as_py())))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["w", "o"])
+    return run
+
+
+def _documents(ordinary: DataFrame, passages: list[bytes]) -> dict[bytes, int]:
+    """In how many documents each of a bounded number of passages stands."""
+    sent = ordinary.sparkSession.sparkContext.broadcast(tuple(passages))
+    rows = ordinary.mapInArrow(_only(sent), "w binary, o long").groupBy("w").agg(F.sum("o").alias("o")).collect()
+    return {bytes(r["w"]): r["o"] for r in rows}
+
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["w", "o"])
+def _trimmed(counts: Counter, size: int) -> Counter:
+    """The Misra-Gries rule: at most ``size`` entries, each less by the largest count that went."""
+    if len(counts) <= size:
+        return counts
+    off = sorted(counts.values(), reverse=True)[size]
+    return Counter({w: n - off for w, n in counts.items() if n > off})
 
+
+def _hitters(known):
+    """Rows (passage, documents at least) of the passages that are frequent in a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for b in batches:
             for text in b.column(0):
-                for w in _passages(_runs(text.as_py()), known):
-                    at = zlib.crc32(w) % BITS
-                    if bits[at >> 3] >> (at & 7) & 1:
-                        counts[w] += 1
-            if len(counts) > 400_000:
-                yield out()
-                counts.clear()
-        yield out()
+                counts.update(_passages(_runs(text.as_py()), known.value))
+                if len(counts) > 6 * HITTERS:
+                    counts = _trimmed(counts, HITTERS)
+        counts = _trimmed(counts, HITTERS)
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["w", "o"])
     return run
 
 
-def _counted_passages(made: DataFrame, known: frozenset[bytes]) -> DataFrame | None:
-    """Passages in at least ``LEAST`` toxic texts: (w, t, o), None if there are none."""
-    spark = made.sparkSession
-    sent = spark.sparkContext.broadcast(known)  # as many words as a dictionary holds
+def _chosen_passages(made: DataFrame, known: frozenset[bytes], n_toxic: int, n_ordinary: int) -> tuple[list[bytes], list[bytes]]:
+    """Passages of the toxic and of the ordinary dictionary, the strongest first."""
+    sent = made.sparkSession.sparkContext.broadcast(known)  # as many words as a dictionary holds
+    least = max(LEAST, math.ceil(SUPPORT * n_toxic))
     few = made.where("y = 1").select("text").mapInArrow(_toxic_passages(sent), "w binary, near long").distinct()
-    few = materialised(few.groupBy("w").agg(F.count("near").alias("t")).where(F.col("t") >= LEAST))
-    at = F.crc32("w") % BITS
-    bits = bytearray(BITS // 8)
-    for r in few.groupBy(F.floor(at / 32).cast("int").alias("at")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(crc32(w) % 32 as int))")).alias("b")).toLocalIterator():  # a fixed number of rows at most
-        bits[4 * r["at"]:4 * r["at"] + 4] = r["b"].to_bytes(4, "little")
-    if not any(bits):
-        return None
-    found = made.where("y = 0").select("text").mapInArrow(
-        _ordinary_passages(spark.sparkContext.broadcast((known, bytes(bits)))), "w binary, o long").groupBy("w").agg(F.sum("o").alias("o"))
-    return materialised(few.join(found, "w", "left").select("w", "t", F.coalesce("o", F.lit(0)).alias("o")))
-
-
-def _shortest(passages: DataFrame) -> DataFrame:
-    """``passages`` without the runs of three words that hold a run of two."""
-    text = F.col("w").cast("string")
-    words = F.size(F.split(text, " "))
-    two = passages.where(words < 3)
-    three = passages.where(words == 3)
-    for k in (2, -2):
-        part = two.select(F.col("w").cast("string").alias("part"))
-        three = three.join(part, F.substring_index(text, " ", k) == F.col("part"), "left_anti")
-    return two.unionByName(three)
+    few = materialised(few.groupBy("w").agg(F.count("near").alias("t")).where(F.col("t") >= least))
+    ordinary = made.where("y = 0").select("text")
+    bad: list[bytes] = []
+    rest = few
+    while _size(bad) < PASSAGE_BYTES:
+        block = [(bytes(r["w"]), r["t"]) for r in rest.orderBy(F.desc("t"), "w").limit(BLOCK).collect()]
+        if not block:
+            break
+        o = _documents(ordinary, [w for w, _ in block])
+        bad += [w for w, t in block if t / n_toxic > TIMES * (o.get(w, 0) + 0.5) / n_ordinary]
+        w, t = block[-1]
+        rest = few.where((F.col("t") < t) | (F.col("t") == t) & (F.col("w") > F.lit(bytearray(w))))
+    held = set(bad)
+    # a run of three words that holds a toxic run of two says no more
+    bad = [w for w in bad if w.count(b" ") < 2 or not {w[:w.rindex(b" ")], w[w.index(b" ") + 1:]} & held]
+    often = ordinary.mapInArrow(_hitters(sent), "w binary, o long").groupBy("w").agg(F.sum("o").alias("o"))
+    best = [bytes(r["w"]) for r in often.orderBy(F.desc("o"), "w").limit(PASSAGE_BYTES // 4).collect()]
+    n = _documents(ordinary, best) if best else {}
+    return bad, sorted((w for w in n if w not in held), key=lambda w: (-n[w], w))
+
+
+def _size(words: list[bytes]) -> int:
+    return sum(2 * len(w) + 2 for w in words)
 
 
 def _count_cells(words):
@@ -312,14 +350,40 @@ def _count_cells(words):
     return run
 
 
+class _Scorer:
+    """Evidence of windows, remembered; the positive ones are few and kept apart."""
+
+    def __init__(self, m: Model):
+        self.lengths, self.toxic, self.of = Lengths(m.toxic, m.ordinary), Passages(m.passages), m.cells.get
+        self.known: set[bytes] = set()                    # windows worked out, in two generations
+        self.old: set[bytes] = set()
+        self.positive: dict[bytes, float] = {}
+        self.hot: set[bytes] = set()                      # its keys: two sets meet in the size of the smaller one
+
+    def raw(self, text: str | None) -> float:
+        ws = windows(text, self.toxic)
+        if not ws:
+            return -10.0
+        if len(self.known) > MEMORY:
+            self.old, self.known = self.known, set()
+            self.positive = {w: e for w, e in self.positive.items() if w in self.old}
+            self.hot = set(self.positive)
+        new = ws.difference(self.known)
+        for w in new.difference(self.old):
+            e = self.of(self.lengths.worked_out(w), 0.0)
+            if e > 0:
+                self.positive[w] = e
+                self.hot.add(w)
+        self.known |= new
+        return round(sum(heapq.nlargest(TOP, map(self.positive.__getitem__, ws & self.hot))), 2)
+
+
 def _most_toxic(model, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
-        kept, toxic = _lengths(m.toxic, m.ordinary), Passages(m.passages)
-        of = m.cells.get
+        kept = kept_in_worker(("toxicity score", m.toxic, m.ordinary, tuple(m.cells.items())), lambda: _Scorer(m))
         for b in batches:
-            raw = [max((of(kept.cell(w), 0.0) for w in windows(t.as_py(), toxic)), default=-10.0) for t in b.column(text_at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.float64())], [*b.schema.names, RAW])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([kept.raw(t.as_py()) for t in b.column(text_at)], pa.float64())], [*b.schema.names, RAW])
     return run
 
 
@@ -357,7 +421,9 @@ def _packed(ranked: list[bytes], size: int) -> bytes:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4, held: int = 2,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     spark = ready(docs.sparkSession)
-    rows = labelled(docs, labels, label, mod, held, id_col, text_col)
+    path = scratch_path(spark, "labelled")
+    labelled(docs, labels, label, mod, held, id_col, text_col).write.parquet(path)
+    rows = spark.read.parquet(path)
     part = F.pmod(F.floor(F.col("crc") / mod), F.lit(PARTS))
     made = rows.where(part != 0).select("text", "y")
     checked = rows.where(part == 0).groupBy(F.sha2("text", 256)).agg(F.max("text").alias("text"), F.max("y").alias("y")).select("text", "y")
@@ -366,7 +432,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
     if not sizes.get(0) or not sizes.get(1):
         return Model()
     places = made.mapInArrow(_count_words, "w binary, near long, o long").groupBy("w", "near").agg(F.sum("o").alias("o"))
-    words = places.groupBy("w").agg(F.count("near").alias("t"), F.sum("o").alias("o"))
+    words = materialised(places.groupBy("w").agg(F.count("near").alias("t"), F.sum("o").alias("o")))
     n_toxic = made.where("y = 1").select(F.xxhash64("text").alias("h")).distinct().count()
     often = (F.col("t") >= LEAST) & (F.col("t") / n_toxic > TIMES * (F.col("o") + 0.5) / sizes[0])
 
@@ -376,11 +442,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
 
     toxic = ranked(words.where(often), "t", TOXIC_BYTES)
     plain = ranked(words.where("o > 0"), "o", ORDINARY_BYTES)
-    counted = _counted_passages(made, frozenset(toxic))
-    bad = usual = []
-    if counted is not None:
-        bad = _fit(ranked(_shortest(counted.where(often)), "t", PASSAGE_BYTES), PASSAGE_BYTES)
-        usual = ranked(counted.where("o > 0").where(~often), "o", PASSAGE_BYTES)
+    bad, usual = _chosen_passages(made, frozenset(toxic), n_toxic, sizes[0])
+    bad = _fit(bad, PASSAGE_BYTES)
     pair = (_packed(bad, PASSAGE_BYTES) + _packed(toxic, TOXIC_BYTES), _packed(usual, PASSAGE_BYTES) + _packed(plain, ORDINARY_BYTES))
     cells = checked.mapInArrow(_count_cells(spark.sparkContext.broadcast((*pair, tuple(bad)))), "cell long, t long, o long")
     cells = cells.groupBy("cell").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).collect()  # lengths only: bounded
@@ -389,7 +452,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
         return Model()
     model = Model(*pair, passages=tuple(bad), cells={r["cell"]: _evidence(r["t"], r["o"], n[1], n[0]) for r in cells})
     by = _raw(checked, model, "text").groupBy(RAW).agg(
-        F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).orderBy(F.desc(RAW)).collect()  # a value for each cell at most
+        F.sum("y").alias("t"), F.count(F.lit(1)).alias("n")).orderBy(F.desc(RAW)).collect()  # sums of TOP logarithms to two places: bounded
     best, hit, said = -1.0, 0, 0
     for k, r in enumerate(by):
         if r[RAW] <= 0:  # nothing speaks for these documents
@@ -398,7 +461,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", mod: int = 4
         f1 = 2 * hit / (said + n[1])
         if f1 > best:
             best = f1
-            model.threshold = (r[RAW] + by[k + 1][RAW]) / 2 if k + 1 < len(by) else r[RAW] - 1e-6
+            # nearer to what is ordinary: a document may hold fewer toxic windows than those here
+            model.threshold = (r[RAW] + 9 * by[k + 1][RAW]) / 10 if k + 1 < len(by) else r[RAW] - 1e-6
     return model
 
 

@@ -159,3 +159,61 @@ def test_more_languages_than_bits(spark):
     assert model.languages == names and len(model.rates()) == 130
     got = language_id.predicted(docs, model).select("lang", "lang_pred").collect()
     assert [r for r in got if r["lang"] != r["lang_pred"]] == []
+
+
+def test_cells_are_direct_compression(spark):
+    """Scores against a plain loop: every window of every text compressed with both dictionaries."""
+    a, b = _sentences(300, 5), _sentences(300, 6)
+    model, score = _toxic_model(spark, [t + " zorgblat you drop dead now" for t in a], [t + " drop w1 dead you now" for t in b])
+    lengths, passages = toxicity.Lengths(model.toxic, model.ordinary), set(model.passages)
+
+    def length(w, words):
+        import zstandard as zs
+        d = zs.ZstdCompressionDict(toxicity.CARRIER + words, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        line = toxicity.CARRIER + b" " + w + b" " + w + b" "
+        return len(zs.ZstdCompressor(dict_data=d, compression_params=toxicity._COMPRESS).compress(line))
+    texts = [(1, a[7] + " zorgblat drop dead w3"), (2, b[3]), (3, "drop dead"), (4, ""), (5, None), (6, "zorgblatt w1 w2")]
+    got = score(texts)
+    for i, t in texts:
+        ws = [w.encode() for w in (t or "").split()]
+        wins = {b" ".join(ws[k:k + n]) for n in (1, 2, 3) for k in range(len(ws) - n + 1)}
+        wins = {w for w in wins if w and (b" " not in w or w in passages)}
+        cells = [w.count(b" ") << 24 | length(w, model.ordinary) << 14 | length(w, model.toxic) << 4 | min(len(w), 15) for w in wins]
+        assert sorted(cells) == sorted(map(lengths.worked_out, wins))
+        best = sorted((model.cells.get(c, 0.0) for c in cells), reverse=True)[:toxicity.TOP]
+        raw = round(sum(best), 2) if wins else -10.0
+        assert abs(got[i] - 1 / (1 + np.exp(-(raw - model.threshold + np.log(0.3 / 0.7))))) < 1e-9
+    assert got[1] >= toxicity.THRESHOLD > got[2]
+
+
+def test_passages_are_taken_in_blocks(spark, monkeypatch):
+    """Small blocks find the passages that one block finds; what tasks remember does not decide."""
+    a, b = _sentences(200, 8), _sentences(200, 9)
+    rows = [(t + f" drop dead now p{k % 5} q{k % 5} w1", 1) for k, t in enumerate(a)] + [(t + " so it goes on w2 dead w3 drop now", 0) for t in b]
+    made = spark.createDataFrame(rows, "text string, y int")
+    want = toxicity._chosen_passages(made, frozenset(), 200, 200)
+    assert b"drop dead" in want[0] and b"so it" in want[1] and not set(want[0]) & set(want[1])
+    n = {w: sum(f" {w.decode()} " in f" {t} " for t in (r[0] for r in rows if r[1] == 0)) for w in want[1]}
+    assert [n[w] for w in want[1]] == sorted(n.values(), reverse=True)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    assert toxicity._chosen_passages(made, frozenset(), 200, 200)[0] == want[0]
+
+
+def test_misra_gries_keeps_what_is_frequent():
+    from collections import Counter
+    counts = Counter({f"w{i}": 1 for i in range(500)}) + Counter({"often": 90, "more": 200})
+    left = toxicity._trimmed(counts, 10)
+    assert set(left) == {"often", "more"} and left["more"] == 199
+
+
+def test_only_letters_tell_a_language(spark):
+    """Every character with a letter's category is one, and no other: number signs alone are no language."""
+    import unicodedata
+    wrong = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000
+             and bool(language_id._LETTERS.fullmatch(chr(c))) != unicodedata.category(chr(c)).startswith("L")]
+    assert wrong == []
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(["some words here"] * 20)], "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    odd = spark.createDataFrame([(1, "½ ²"), (2, "①"), (3, "Ⅷ"), (4, "12 _ !"), (5, "some words")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predicted(odd, model).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "und", 5: "xx"}
