@@ -41,7 +41,9 @@ from marquee.llm.common import crc_mod, ready
 GRAM, SLOTS, HASHES, SHARE, LANGUAGES = 4, 1 << 20, 4, 0.02, 62
 #: Words remembered per worker; a full memory is emptied, results do not depend on it.
 MEMORY, WORD_CHARS = 500_000, 48
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Word characters without digits are letters but for number signs such as a half, roman numerals or circled ones.
+_SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def grams(word: str) -> list[str]:
