@@ -3,7 +3,12 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame. ``run`` writes each result to the shared scratch
 folder and reads it again as the next stage's input, so a stage starts from
-files and never recomputes its predecessors.
+files and never recomputes its predecessors. Stages that decide on rows write
+them with a handle first, so the decision holds however the files are split.
+
+Defined cases: those of the operators; a table without labels loses nothing to
+the first stage; repeated ids stay unless their texts are equal or near; an
+empty table gives no rows; all but the last stage keep the columns of documents.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from marquee.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
 from marquee.llm.common import ready, table
 from marquee.session import scratch_path
 
+#: Words that a worker remembers while it encodes; ids do not depend on it.
+REMEMBERED = 80_000
 #: A stage of language models and classifiers cannot be expressed in SQL.
 ORACLE_SQL = None
 
@@ -37,7 +44,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.encoded(docs.select("doc_id", "text"), path).drop("text"))
+    # executors come from four other stages: the workers remember less than in a run of their own
+    return bpe.digests(bpe.encoded(docs.select("doc_id", "text"), path, memory=REMEMBERED).drop("text"))
 
 
 STAGES = [

@@ -71,7 +71,7 @@ def load(path: str) -> dict:
 
 
 class Encoder:
-    def __init__(self, model: dict):
+    def __init__(self, model: dict, memory: int = MEMORY):
         ids: dict[bytes, int] = model["ids"]
         size = max([*ids.values(), *model["added"].values()], default=-1) + 1
         self.bytes_of: list[bytes] = [b""] * size
@@ -107,9 +107,9 @@ class Encoder:
         self.added = regex.compile("|".join(regex.escape(t) for t in sorted(model["added"], key=len, reverse=True))) \
             if model["added"] else None
         self.added_ids = model["added"]
-        self.words = Memory(MEMORY)                       # after a space -> ids as int32 bytes
-        self.starts = Memory(MEMORY // 4)                 # the same at the start of a line
-        self.pieces = Memory(MEMORY)
+        self.words = Memory(memory)                       # after a space -> ids as int32 bytes
+        self.starts = Memory(memory // 4)                 # the same at the start of a line
+        self.pieces = Memory(memory)
         self.line = self._unit("\n")
 
     def _edge(self, i, rank, parts, side):
@@ -261,16 +261,16 @@ IDS, BACK = f"{P}ids", f"{P}decoded"
 BATCH_IDS = 2_000_000
 
 
-def _made(model: dict) -> Encoder:
-    encoder = Encoder(model)
+def _made(model: dict, memory: int = MEMORY) -> Encoder:
+    encoder = Encoder(model, memory)
     gc.collect()
     gc.freeze()  # the tables stay as long as the worker: no need to look through them again
     return encoder
 
 
-def _run(model, key: str, text_at: int):
+def _run(model, key: str, text_at: int, memory: int = MEMORY):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = kept_in_worker(("bpe", key), lambda: _made(model.value))
+        enc = kept_in_worker(("bpe", key, memory), lambda: _made(model.value, memory))
         for b in batches:
             lo, flat, back = 0, [], []
 
@@ -295,12 +295,14 @@ def _run(model, key: str, text_at: int):
     return run
 
 
-def encoded(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__q_ids`` (token ids) and ``__q_decoded`` (the text those ids decode to)."""
+def encoded(docs: DataFrame, path: str, text_col: str = "text", memory: int = MEMORY) -> DataFrame:
+    """``docs`` with ``__q_ids`` (token ids) and ``__q_decoded`` (the text those ids decode to).
+
+    ``memory`` bounds the words and pieces that a worker remembers; ids never depend on it."""
     spark = ready(docs.sparkSession)
     model = spark.sparkContext.broadcast(load(path))  # as large as the vocabulary file, whatever the documents
     schema = StructType([*docs.schema.fields, StructField(IDS, ArrayType(IntegerType())), StructField(BACK, StringType())])
-    return docs.mapInArrow(_run(model, path, docs.columns.index(text_col)), schema)
+    return docs.mapInArrow(_run(model, path, docs.columns.index(text_col), memory), schema)
 
 
 def digests(rows: DataFrame) -> DataFrame:
