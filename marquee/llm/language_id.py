@@ -43,13 +43,16 @@ GRAM, SLOTS, HASHES, SHARE, LANGUAGES = 4, 1 << 20, 4, 0.02, 62
 MEMORY, WORD_CHARS = 500_000, 48
 #: Word characters without digits are letters but for number signs such as a half, roman numerals or circled ones.
 _SIGNS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_SIGNS}]+")
+_WORDS, _LETTERS = re.compile(r"[^\W\d_]+"), re.compile(rf"[^\W\d_{_SIGNS}]+")
 
 
 def grams(word: str) -> list[str]:
     """N-grams of the letter runs in a lower-cased word, repeats included."""
+    runs = _WORDS.findall(word)
+    if not all(map(str.isalpha, runs)):  # few words: the set of all number signs is slow to match
+        runs = _LETTERS.findall(word)
     out = []
-    for run in _LETTERS.findall(word):
+    for run in runs:
         run = f" {run} "
         out += [run[i:i + GRAM] for i in range(max(1, len(run) - GRAM + 1))]
     return out

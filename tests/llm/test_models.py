@@ -217,3 +217,18 @@ def test_only_letters_tell_a_language(spark):
     odd = spark.createDataFrame([(1, "½ ²"), (2, "①"), (3, "Ⅷ"), (4, "12 _ !"), (5, "some words")], "doc_id long, text string")
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.predicted(odd, model).collect()}
     assert got == {1: "und", 2: "und", 3: "und", 4: "und", 5: "xx"}
+
+
+def test_the_set_of_number_signs_is_matched_only_where_one_stands(monkeypatch):
+    """Words of letters, digits and other signs never meet the slow set; a word with a number sign gives what the set gives."""
+    class Slow:
+        met = []
+
+        def findall(self, word):
+            self.met.append(word)
+            return slow.findall(word)
+    slow = language_id._LETTERS
+    monkeypatch.setattr(language_id, "_LETTERS", Slow())
+    assert language_id.grams("don't") == [" don", "don ", " t "] and language_id.grams("жук9漢字_") == [" жук", "жук ", " 漢字 "]
+    assert language_id.grams("12") == [] and Slow.met == []
+    assert language_id.grams("ab½cd") == [" ab ", " cd "] and Slow.met == ["ab½cd"]
