@@ -88,3 +88,33 @@ def test_query_grid_size(spark):
     g = C.query_grid(two)
     assert g.count() == 7240
     assert g.agg(F.min("after"), F.max("before")).first()[1].isoformat() == "2026-05-01"
+
+
+def test_terms_are_counted_in_bounded_shares_of_the_texts(spark, monkeypatch):
+    """The partitions of texts clustered by row follow the bytes of their table, so a task's terms do not grow with it."""
+    from pyspark.sql import functions as F
+    from marquee.plans import catalog, fixtures
+    from testing_data import SF001
+    monkeypatch.setattr(fixtures, "SHARE_BYTES", 4096)
+    files = spark.read.format("binaryFile").load(f"{SF001}/documents.parquet").agg(F.sum("length")).first()[0]
+    docs = catalog._by_row(catalog._clean_docs(spark, SF001), SF001)
+    assert docs.rdd.getNumPartitions() == -(-files // 4096) > spark.sparkContext.defaultParallelism
+    assert docs.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+
+
+def test_encoding_cuts_a_text_once(spark):
+    """Tokens and padding come from one tokenisation of each row."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType, StringType
+    from marquee.operators import vocab as V
+    calls = spark.sparkContext.accumulator(0)
+
+    def cut(text):
+        calls.add(1)
+        return text.split()
+    docs = spark.createDataFrame([(1, "a b a"), (2, ""), (3, "b c d e")], "row_id long, h string")
+    index = spark.createDataFrame([("a", 2), ("b", 3)], "token string, idx int")
+    got = V.encode(docs, F.udf(cut, ArrayType(StringType()))("h"), index, max_len=3).collect()
+    assert sorted((r["row_id"], r["pos"], r["idx"]) for r in got) == [
+        (1, 0, 2), (1, 1, 3), (1, 2, 2), (2, 0, 0), (2, 1, 0), (2, 2, 0), (3, 0, 3), (3, 1, 1), (3, 2, 1)]
+    assert calls.value == 3

@@ -88,3 +88,11 @@ def test_labels(spark):
     got = {r[0]: (r[1], r[2]) for r in df.select("row_id", T.source_from_url(F.col("url")),
                                                   T.source_from_url_ci(F.col("url"))).collect()}
     assert got == {0: ("FoxNews", "FoxNews"), 1: ("NBC", "FoxNews"), 2: ("NBC", "NBC")}
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(_ALPHABET, max_size=30).map("".join)), max_size=8))
+def test_clean_tokens_are_the_words_of_a_cleaned_headline(spark, texts):
+    clean = rows(spark, enumerate(EDGE + ["\x1c\x85 \u00a0", " a\tb "] + texts)).select(T.clean_headline(F.col("h")).alias("c"))
+    for r in clean.select("c", T.clean_tokens("c").alias("t"), T.ws_tokens("c").alias("w")).collect():
+        assert r["t"] == r["w"] == r["c"].split()
