@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -23,7 +23,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.ml.blocks import csr_block
+from marquee.ml.blocks import csr_blocks
 from marquee.ml.forest import BINS, _best, _thresholds
 from marquee.session import checkpoint_dir
 
@@ -75,12 +75,13 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         total, sc = data.first()[0].size, spark.sparkContext
 
         def numbered(i, rows):
-            return ((i, b) for b in csr_block(rows) if b[3].size)
+            # bounded blocks: what a task holds does not grow with its partition; the first has the partition's number
+            return (((j << 32) + i, b) for j, b in enumerate(csr_blocks(rows)) if b[3].size)
         raw = data.rdd.mapPartitionsWithIndex(numbered)
         n = raw.map(lambda b: int(b[1][3].size)).sum()
         cuts = _thresholds(raw, n)
         sent_cuts = sc.broadcast(cuts)                    # bounded: BINS numbers a feature
-        blocks = raw.map(lambda b: _Binned(b[1], sent_cuts.value)).cache()
+        blocks = raw.map(lambda b: _Binned(b[1], sent_cuts.value)).persist(StorageLevel.MEMORY_AND_DISK)
         zero = np.zeros(total, np.int64)                  # the bin of rows without a value
         for f, cut in cuts.items():
             zero[f] = np.searchsorted(cut, 0, "left")
@@ -95,7 +96,7 @@ class AdaBoostStumps(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
                 k = total * BINS
                 return (np.bincount(b.place, w[b.row], k), np.bincount(b.place, (w * b.y)[b.row], k), w.sum(), (w * b.y).sum())
             h, t, all_w, ones = blocks.map(sums).treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b)))
-            sent.unpersist()
+            sent.destroy()
             h, t = h.reshape(total, BINS), t.reshape(total, BINS)
             h[np.arange(total), zero] += all_w - h.sum(axis=1)
             t[np.arange(total), zero] += ones - t.sum(axis=1)
