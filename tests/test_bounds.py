@@ -5,6 +5,7 @@ from pyspark import Broadcast
 from pyspark.ml.linalg import Vectors
 
 from marquee.ml import forest as FO
+from marquee.ml import learners as L
 from marquee.ml import linear_grid as LG
 from marquee.ml.blocks import csr_block, csr_blocks
 
@@ -70,3 +71,20 @@ def test_broadcasts_of_a_pass_are_destroyed(spark, monkeypatch):
     monkeypatch.setattr(Broadcast, "destroy", destroy)
     FO.train(blocks, 9, 60, 1, FO.Rules(9, 9, 1, 1e9, 3, False), cells=9 * 8)
     assert len(sent) > 3 and len(gone) == len(sent) and sum(isinstance(v, dict) for v in sent) == 1
+
+
+def test_sparse_neighbours_travel_as_stored(spark, monkeypatch):
+    """Sparse vectors give the neighbours of dense ones, in as many rows to a block as their stored entries allow."""
+    rng = np.random.default_rng(6)
+    rows = [(i, Vectors.sparse(50, sorted(rng.choice(50, 2, replace=False).tolist()), rng.normal(size=2)) if i % 7 else Vectors.dense(rng.normal(size=50)),
+             int(rng.integers(0, 3))) for i in range(80)]
+    df = spark.createDataFrame(rows, ["vec_id", "v", "label"])
+    dense = spark.createDataFrame([(i, v.toArray().tolist(), y) for i, v, y in rows], ["vec_id", "embedding", "label"])
+    seen = []
+    real = L._knn_block
+    monkeypatch.setattr(L, "_knn_block", lambda k, dim: seen.append(dim) or real(k, dim))
+    want = {r[0]: r[1] for r in L.knn_predict(dense.where("vec_id >= 20"), dense.where("vec_id < 20"), 3).collect()}
+    for size in (500, 1 << 20):
+        got = L.knn_predict(df.where("vec_id >= 20"), df.where("vec_id < 20"), 3, vec_col="v", block_bytes=size)
+        assert {r[0]: r[1] for r in got.collect()} == want and len(want) == 20
+    assert seen == [50] * 3
