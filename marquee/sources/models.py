@@ -1,9 +1,9 @@
 """Fitted pipelines to and from storage (``PipelineModel`` directories).
 
 ``TfidfVectorizer`` fits into a small inner pipeline; it is flattened into
-its standard stages (``CountVectorizerModel``, ``ElementwiseProduct``,
-``Normalizer``) before saving, so the saved model is an ordinary pipeline of
-JVM stages plus the package's parameter-only text stages. Ensembles write the
+its stages (``TermCounts``, ``ElementwiseProduct``, ``Normalizer``) before
+saving, so the saved model is an ordinary pipeline of JVM stages plus the
+package's parameter-only stages. Ensembles write the
 models they hold (``ml.parts``), so the shipped stack is saved and served whole.
 """
 
