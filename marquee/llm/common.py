@@ -13,6 +13,8 @@ from marquee.session import checkpoint_dir, scratch_path
 SALTS = 64
 #: A table is broadcast only when it was counted and holds at most this many narrow rows.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of the rows that travel to a Python worker at a time: whole texts, so a number of rows bounds nothing.
+BATCH_BYTES = 4 << 20
 #: Internal columns start with this, so that columns of the caller cannot clash.
 P = "__q_"
 
@@ -28,8 +30,9 @@ def materialised(df: DataFrame) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Make the package importable on the workers and set the checkpoint folder."""
+    """Make the package importable on the workers, set the checkpoint folder and bound the batches that workers get."""
     checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -99,6 +102,11 @@ def kept_in_worker(key, make):
     return _KEPT[key]
 
 
+def let_go() -> None:
+    """Called by a step that keeps nothing: what an earlier operator left in this worker goes."""
+    _KEPT.clear()
+
+
 class Memory:
     """What was worked out for a key, in two generations of at most ``size`` entries each.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from marquee.llm.common import P, materialised, ready
+from marquee.llm.common import P, let_go, materialised, ready
 
 WINDOW = 13
 #: Benchmark text per broadcast block.
@@ -116,6 +116,7 @@ _SPAN = ArrayType(StructType([StructField("start", LongType()), StructField("end
 
 def _pass(tables, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         found = tables.value
         for b in batches:
             last = b.num_columns - 3

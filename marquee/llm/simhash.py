@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import P, materialised, numbered, partitions, salted_lookup, stored_numbered, without_rows
+from marquee.llm.common import P, let_go, materialised, numbered, partitions, salted_lookup, stored_numbered, without_rows
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 ROW = f"{P}row"
@@ -66,6 +66,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprint_batches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(

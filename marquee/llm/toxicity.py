@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from marquee.llm.common import BROADCAST_ROWS, Memory, P, crc_mod, kept_in_worker, materialised, ready
+from marquee.llm.common import BROADCAST_ROWS, Memory, P, crc_mod, kept_in_worker, let_go, materialised, ready
 from marquee.session import scratch_path
 
 WINDOW = 32
@@ -231,6 +231,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, mod: int, held: int
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (word, toxic text, ordinary documents): a row per word of a toxic text, one per word of the others."""
+    let_go()
     counts: Counter = Counter()
 
     def out(ws, near, n):
@@ -257,6 +258,7 @@ def _digest(text: str | None) -> int:
 def _toxic_passages(known):
     """Rows (passage, toxic text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             for text in b.column(0):
                 t = text.as_py()
@@ -268,6 +270,7 @@ def _toxic_passages(known):
 def _only(wanted):
     """Rows (passage, documents) of the given passages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         passages, counts = Passages(wanted.value), Counter()
         for b in batches:
             for text in b.column(0):
@@ -294,6 +297,7 @@ def _trimmed(counts: Counter, size: int) -> Counter:
 def _hitters(known):
     """Rows (passage, documents at least) of the passages that are frequent in a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         counts: Counter = Counter()
         for b in batches:
             for text in b.column(0):

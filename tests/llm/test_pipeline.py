@@ -1,13 +1,16 @@
 """The pipeline's stages: decisions hold on the rows they were made for, whatever the splits of a scan."""
 
 import re
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from brute import op1, op3
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marquee.llm import exact_dedup, simhash, toxicity
-from marquee.llm.common import table
+from marquee.llm import common, decontaminate, exact_dedup, simhash, toxicity
+from marquee.llm.common import ready, table
 
 
 def shifting(spark, monkeypatch, module):
@@ -112,3 +115,21 @@ def test_clashing_names_stay(spark, odd_dir):
     assert "score" in docs.columns
     kept = toxicity.without_toxic(docs, table(spark, odd_dir, "labels"))
     assert kept.columns == docs.columns and {r["score"] for r in kept.collect()} <= {0.5}
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["n"])
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("word "), 2000).alias("text"))    # 40 MB
+    got = [r["n"] for r in ready(spark) and rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 35e6 and max(got) < 2 * common.BATCH_BYTES
+
+
+@pytest.mark.parametrize("step", [simhash._fingerprint_batches(3), decontaminate._pass(SimpleNamespace(value=[]), 0), toxicity._count_words,
+                                  toxicity._toxic_passages(SimpleNamespace(value=frozenset())), toxicity._hitters(SimpleNamespace(value=frozenset())),
+                                  toxicity._only(SimpleNamespace(value=()))])
+def test_a_step_lets_go_of_what_the_worker_kept(step, monkeypatch):
+    monkeypatch.setattr(common, "_KEPT", {("bpe", "x"): object()})
+    list(step(iter(())))
+    assert not common._KEPT
