@@ -78,6 +78,24 @@ def test_knn_keeps_every_tie(spark):
         assert L.knn_predict(tr, te, k=5, block_bytes=size).collect()[0]["prediction"] == 1
 
 
+def test_knn_makes_a_part_of_a_block_dense_at_a_time(monkeypatch):
+    """Blocks are as large as their stored entries allow; their dense rows are bounded, and every tie still ranks."""
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    near = rng.integers(0, 3, (90, 2)).astype(float)
+    tr = pd.DataFrame({"_tid": np.arange(90)[::-1], "_ti": [np.array([1, 5])] * 90, "_tv": list(near), "_tl": rng.integers(0, 3, 90)})
+    te = pd.DataFrame({"_qid": np.arange(200, 220), "_qi": [None] * 20, "_qv": list(rng.integers(0, 3, (20, 8)).astype(float))})
+    whole = L._knn_block(5, 8)(te, tr)
+    seen, real = [], L._knn_dense
+    monkeypatch.setattr(L, "_knn_dense", lambda values, places, dim: seen.append(len(values)) or real(values, places, dim))
+    monkeypatch.setattr(L, "KNN_DENSE_BYTES", 8 * 8 * 7)
+    parts = L._knn_block(5, 8)(te, tr)
+    assert max(x for x in seen if x != 20) <= 7
+    order = ["_qid", "_d", "_tid"]
+    assert parts.sort_values(order).reset_index(drop=True).equals(whole.sort_values(order).reset_index(drop=True)) and len(parts) == 100
+
+
 def test_linear_margin_of_sparse_and_dense_vectors(spark):
     from pyspark.ml.linalg import Vectors
     vs = [Vectors.sparse(4, [1, 3], [2.0, -1.5]), Vectors.dense([1.0, 0.0, 3.0, 1e-7]), Vectors.sparse(4, [], [])]
