@@ -88,3 +88,14 @@ def test_sparse_neighbours_travel_as_stored(spark, monkeypatch):
         got = L.knn_predict(df.where("vec_id >= 20"), df.where("vec_id < 20"), 3, vec_col="v", block_bytes=size)
         assert {r[0]: r[1] for r in got.collect()} == want and len(want) == 20
     assert seen == [50] * 3
+
+
+def test_weights_write_no_counts_of_terms_outside_the_vocabulary(spark, monkeypatch):
+    """The counts of all terms take many times the room of the texts; only the vocabulary is written."""
+    from marquee.plans import catalog
+    from testing_data import SF001
+    frame, written = type(spark.range(1)), []
+    real = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *more: written.append(self.columns) or real(self, *more))
+    rows = catalog.q_tfidf_long(spark, SF001).collect()
+    assert rows and ["term", "df", "total", "idx", "idf"] in written and not any("tf" in columns for columns in written)
